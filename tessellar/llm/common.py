@@ -152,7 +152,7 @@ def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     for j in range(k):
         g *= U(0xC2B2AE3D27D4EB4F)
         if room.min() > j:
-            g += h[at + j]
+            g += h[at + j] + U(j + 1)
         else:
             inside = room > j
             g[inside] += h[at[inside] + j] + U(j + 1)
@@ -164,7 +164,7 @@ def sum_slices(parts: DataFrame, dtype: str, fan: int = 64) -> DataFrame:
     """Add up rows (slice int, part int, payload binary) of equal-length vectors by slice, in two
     steps so that no task sees more than a share of the parts."""
 
-    def add(key, batches):
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             for x in batch.column("payload"):

@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.llm import chat, common, mixing, quality, warc
+from tessellar.llm import chat, common, mixing, neardup, quality, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(rows.unionByName(more)))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(table(spark, sf_dir, "documents"), words=4)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_dir(spark)
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -44,6 +48,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op6_chat_formatting, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op6_chat_formatting, op9_minhash, op10_warc)}
 
 ORACLES: dict[str, str] = {}
