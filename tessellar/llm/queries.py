@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.llm import chat, common, mixing, neardup, quality, toxicity, warc
+from tessellar.llm import chat, common, decontam, mixing, neardup, quality, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(rows.unionByName(more)))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), spans=False)
     return out.select("doc_id", "held_out", "score", "predicted", "n_words", "best")
@@ -53,6 +57,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op6_chat_formatting, op8_toxicity, op9_minhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
 
 ORACLES: dict[str, str] = {}
