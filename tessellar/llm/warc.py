@@ -7,8 +7,8 @@ refer to it and repeat its digest and length in their headers, without the paylo
 with a null or repeated page_id each get a record, and all that share the largest id of a payload are responses.
 
 Reading: ``spark.read.format("warc").load(folder)`` plans a partition for each file, takes equality and IN filters
-on ``record_type`` and on header columns into the scan, parses headers first, and steps over the payload of a record
-that the filters drop, or of any record if the option ``payload`` is false. Header texts are percent-encoded where
+on ``record_type`` and on header columns into the scan, parses headers first, and steps over the payload of a record (with a seek where
+the archive isn't compressed) that the filters drop, or of any record if the option ``payload`` is false. Header texts are percent-encoded where
 they hold control characters.
 """
 
@@ -58,9 +58,9 @@ def records(pages: DataFrame, revisit_bytes: int = 1000) -> DataFrame:
     return p.select("page_id", text.alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, revisit_bytes: int = 1000, per_file: int = 20_000) -> None:
+def write_warc(pages: DataFrame, path: str, revisit_bytes: int = 1000, per_file: int = 20_000, compression: str = "gzip") -> None:
     """Archives of at most ``per_file`` records in a folder of any file system that Spark writes to."""
-    records(pages, revisit_bytes).select("value").write.option("lineSep", EOL + EOL).option("maxRecordsPerFile", per_file).text(path)
+    records(pages, revisit_bytes).select("value").write.option("lineSep", EOL + EOL).option("maxRecordsPerFile", per_file).option("compression", compression).text(path)
 
 
 class Piece(InputPartition):
@@ -92,7 +92,7 @@ def parse(stream, wanted: list[tuple[str, frozenset]], payload: bool) -> Iterato
         row["payload_digest"] = row.get("payload_digest", "").removeprefix("sha1:") or None
         row["payload_bytes"] = int(row["payload_bytes"]) if "payload_bytes" in row else None
         if not payload or row["record_type"] == "revisit" or any(row.get(c) not in v for c, v in wanted):
-            stream.seek(length, 1)
+            stream.skip(length)
             body = None
         else:
             body = stream.read(length).partition(b"\r\n\r\n")[2]
@@ -122,7 +122,7 @@ class WarcReader(DataSourceReader):
         if not partition.path:
             return
         fs, _ = open_fs(self.path)
-        with fs.open_input_file(partition.path) as raw:
+        with open_file(fs, partition.path) as raw:
             rows, held = [], 0
             for row in parse(_Buffered(raw), self.wanted, self.payload):
                 rows.append(row)
@@ -135,39 +135,40 @@ class WarcReader(DataSourceReader):
 
 
 class _Buffered:
-    """Lines, reads and forward seeks over a random-access file, a block at a time."""
+    """Lines, reads and forward skips over a file, a block at a time; a skip seeks where the file can."""
 
     def __init__(self, raw, block: int = 1 << 20):
-        self.raw, self.block, self.data, self.at, self.left = raw, block, b"", 0, raw.size()
+        self.raw, self.block, self.data, self.at = raw, block, b"", 0
 
-    def _more(self, n: int) -> None:
-        got = self.raw.read(min(self.left, max(n, self.block)))
-        self.left -= len(got)
+    def _more(self, n: int) -> bool:
+        got = self.raw.read(max(n, self.block))
         self.data, self.at = self.data[self.at :] + got, 0
+        return bool(got)
 
     def readline(self) -> bytes:
         while (end := self.data.find(b"\n", self.at)) < 0:
-            if not self.left:
+            if not self._more(self.block):
                 end = len(self.data) - 1
                 break
-            self._more(self.block)
         line, self.at = self.data[self.at : end + 1], end + 1
         return line
 
     def read(self, n: int) -> bytes:
-        if len(self.data) - self.at < n:
-            self._more(n - (len(self.data) - self.at))
+        while len(self.data) - self.at < n and self._more(n - (len(self.data) - self.at)):
+            pass
         out, self.at = self.data[self.at : self.at + n], self.at + n
         return out
 
-    def seek(self, n: int, _whence: int = 1) -> None:
+    def skip(self, n: int) -> None:
         have = len(self.data) - self.at
         if n <= have:
             self.at += n
-        else:
+        elif self.raw.seekable():
             self.data, self.at = b"", 0
             self.raw.seek(self.raw.tell() + n - have)
-            self.left -= n - have
+        else:
+            while n > 0 and (got := len(self.read(min(n, self.block)))):
+                n -= got
 
 
 def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -179,6 +180,10 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path.replace("file:///", "/", 1) if path.startswith("file:/") else path)
 
 
+def open_file(fs: pafs.FileSystem, path: str):
+    return fs.open_input_stream(path, compression="gzip") if path.endswith(".gz") else fs.open_input_file(path)
+
+
 class WarcSource(DataSource):
     @classmethod
     def name(cls):
