@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.llm import chat, common, decontam, mixing, neardup, quality, toxicity, warc
+from tessellar.llm import chat, common, decontam, linededup, mixing, neardup, quality, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("line_removed").cast("long").alias("n_removed"), "line_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,6 +62,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_quality_rules, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op4_quality_rules, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
 
 ORACLES: dict[str, str] = {}
