@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessellar.llm import chat, common, decontam, linededup, mixing, neardup, quality, runindex, toxicity, warc
+from tessellar.llm import chat, common, decontam, linededup, lm, mixing, neardup, quality, runindex, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("line_removed").cast("long").alias("n_removed"), "line_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / 4096)).alias("chunk"))
+    return lm.score(docs, F.col("chunk"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -68,6 +73,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
 
 ORACLES: dict[str, str] = {}
