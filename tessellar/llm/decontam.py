@@ -7,7 +7,7 @@ and a table for each block lists the items within that many bits of each block v
 within the radius is found; candidates are then verified by the exact similarity of weighted shingles,
 ``sum of smaller counts / sum of larger counts``, of at least ``percent``.
 
-Only windows that hold a shingle of some item are looked at: any other has similarity 0. Similarities are of
+Only windows that hold a shingle of some item of their size are looked at: any other has similarity 0. Similarities are of
 window and item as multisets, so the radius leaves room for the angle that similarity 0.8 allows: at 0.8 about 38 of
 256 bits differ, and more than 76 in fewer than one of a million windows.
 
@@ -65,12 +65,19 @@ class Index:
     counts: list[dict]
     bloom: np.ndarray = field(default=None)
     hashes: np.ndarray = field(default=None)
+    sizes: np.ndarray = field(default=None)
+    has: np.ndarray = field(default=None)
     tables: np.ndarray = field(default=None)
 
     def build(self) -> None:
         self.hashes = np.unique(np.array([h for c in self.counts for h in c], U))
         self.bloom = np.zeros(BLOOM, bool)
         self.bloom[(self.hashes >> U(20)) & U(BLOOM - 1)] = True
+        self.sizes = np.unique(self.size)
+        # which item sizes have each shingle
+        self.has = np.zeros((len(self.hashes), len(self.sizes)), bool)
+        for c, size in zip(self.counts, self.size, strict=True):
+            self.has[np.searchsorted(self.hashes, np.array(list(c), U)), np.searchsorted(self.sizes, size)] = True
         n = len(self.ids)
         value = np.arange(1 << WIDTH, dtype=np.uint16)
         self.tables = np.zeros((BLOCKS, 1 << WIDTH, (n + 7) // 8), np.uint8)
@@ -111,12 +118,15 @@ def indexes(items: list[tuple], words: int) -> list[Index]:
 def matches(g: np.ndarray, hit: np.ndarray, ix: Index, percent: int) -> list[tuple]:
     """(item, similarity, first word, words) for one text: shingles ``g``, of which ``hit`` are some item's."""
     best: dict = {}
-    for size in np.unique(ix.size).tolist():
-        # starts of windows of this size that hold a hit, as far as the text goes
+    has = ix.has[np.searchsorted(ix.hashes, g[hit])]
+    for which in np.flatnonzero(has.any(axis=0)).tolist():
+        size = int(ix.sizes[which])
+        # starts of windows of this size that hold a shingle of an item of this size, as far as the text goes
         if len(g) < size:
             continue
-        lo = np.maximum(hit - size + 1, 0)
-        hi = np.minimum(hit, len(g) - size)
+        own = hit[has[:, which]]
+        lo = np.maximum(own - size + 1, 0)
+        hi = np.minimum(own, len(g) - size)
         cover = np.zeros(len(g) + 1, np.int32)
         ok = lo <= hi
         np.add.at(cover, lo[ok], 1)
