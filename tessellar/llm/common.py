@@ -46,6 +46,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sheltered(df: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """All columns under names that clash with nothing, and copies of the needed ones under their own."""
+    names = [f"_kept{i}" for i in range(len(df.columns))]
+    return df.toDF(*names).select(*names, *(F.col(names[df.columns.index(c)]).alias(c) for c in needed)), names
+
+
 def text_hash(col="text"):
     """Tells apart rows that share an id: used beside the id as a row's key."""
     return F.xxhash64(F.col(col))

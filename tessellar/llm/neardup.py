@@ -6,10 +6,12 @@ bits. The signature is cut into chunks so that, by the pigeonhole principle, two
 of each chunk in turn, and what remains is a key. So all pairs under the signature-distance threshold share
 a key. (Sets with similarity 0.8 differ in 12.8 of 64 places on average; above 25 in 2 of 10,000 cases.)
 
-Equal sets are folded first. In each key's group every member is paired with the group's smallest one, pairs are
-confirmed on full sets, and links merge into components. Groups that still hold more than one component are dealt in
-blocks: pairs across components are compared by signature, and those within the radius are confirmed on full
-sets too. So no link is lost, and a group whose members are already linked isn't paired out.
+Equal sets are folded first. In each key's group every member is paired with the one that shares most keys with others
+(an original rather than one of its copies), pairs are confirmed on full sets, and links merge into components. In groups
+that still hold more than one component, the members outside of the largest one are compared with all others, block by
+block, by prints of ``PRINT`` min-wise hashes (a pair with similarity 0.8 falls below ``LEAST`` of them in 3 of 100,000
+cases), and what passes is confirmed on full sets too. So no link is given up, and a group whose members are already linked
+isn't paired out.
 
 Null or empty texts have an empty set and link with nothing; rows without an id never name a component unless
 all of its rows lack one; rows that share an id count as one document; other columns are ignored.
@@ -19,18 +21,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, shingles, slices, word_hashes
+from tessellar.llm.common import U, materialize, sheltered, shingles, slices, text_hash, word_hashes
 from tessellar.llm.filters import id_filter, maybe
 
 K, BITS, RADIUS = 64, 16, 25
 CHUNKS = np.array_split(np.arange(K), (RADIUS + 1 + 1) // 2)
 NO_ID = (1 << 63) - 1
-BLOCK = 512
-_A = (np.random.default_rng(9).integers(1, 1 << 32, K, np.uint64) | U(1)).astype(np.uint32)[:, None]
-_B = np.random.default_rng(10).integers(0, 1 << 32, K, np.uint64).astype(np.uint32)[:, None]
+BLOCK = 2048
+#: hashes of the longer print (8 bits each), and how many must agree for a pair of 80 percent
+PRINT, LEAST = 512, 374
+_A = (np.random.default_rng(9).integers(1, 1 << 32, PRINT, np.uint64) | U(1)).astype(np.uint32)[:, None]
+_B = np.random.default_rng(10).integers(0, 1 << 32, PRINT, np.uint64).astype(np.uint32)[:, None]
 
 
 def sets(texts: pa.Array, k: int):
@@ -42,14 +46,14 @@ def sets(texts: pa.Array, k: int):
             yield np.unique(g[begin[i] : begin[i + 1]])
 
 
-def signature(s: np.ndarray) -> bytes:
-    low = np.full((K, 1), 0xFFFFFFFF, np.uint32)
+def signature(s: np.ndarray, k: int = K) -> bytes:
+    low = np.full((k, 1), 0xFFFFFFFF, np.uint32)
     x = (s >> U(32)).astype(np.uint32)[None, :]
     for a in range(0, x.shape[1], 1 << 14):
-        np.minimum(low, (x[:, a : a + (1 << 14)] * _A + _B).min(axis=1, keepdims=True), out=low)
+        np.minimum(low, (x[:, a : a + (1 << 14)] * _A[:k] + _B[:k]).min(axis=1, keepdims=True), out=low)
     v = low[:, 0]
     v = (v ^ (v >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    return (v >> np.uint32(32 - BITS)).astype(np.uint16).tobytes()
+    return (v >> np.uint32(32 - BITS)).astype(np.uint16)
 
 
 def key_rows(sig: np.ndarray) -> np.ndarray:
@@ -77,7 +81,7 @@ def described(docs: DataFrame, k: int) -> DataFrame:
                 n.append(len(s))
                 h1.append(int((s * U(0xD6E8FEB86659FD93)).sum(dtype=U).view(np.int64)))
                 h2.append(int(((s ^ (s >> U(31))) * U(0xA0761D6478BD642F)).sum(dtype=U).view(np.int64)))
-                sig.append(signature(s) if len(s) else None)
+                sig.append(signature(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["id", "n", "h1", "h2", "sig"])
 
     return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sig binary")
@@ -104,7 +108,7 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, k: int, members: DataFrame) -> DataFrame:
-    """(rid, s) of the documents that ``members`` (column rid) names; a few others may be among them."""
+    """(rid, s, print) of the documents that ``members`` (column rid) names; a few others may be among them."""
     bits = id_filter(members, "rid")
 
     def run(batches):
@@ -114,10 +118,11 @@ def full_sets(docs: DataFrame, k: int, members: DataFrame) -> DataFrame:
             if len(hit):
                 for lo in range(0, len(hit), 256):
                     some = hit[lo : lo + 256]
-                    s = [x.view(np.int64) for x in sets(b.column("text").take(pa.array(some)), k)]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(s, pa.list_(pa.int64()))], ["rid", "s"])
+                    s = list(sets(b.column("text").take(pa.array(some)), k))
+                    prints = [(signature(x, PRINT) >> np.uint16(8)).astype(np.uint8).tobytes() for x in s]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64())), pa.array(prints, pa.binary())], ["rid", "s", "print"])
 
-    return docs.mapInArrow(run, "rid long, s array<long>")
+    return docs.mapInArrow(run, "rid long, s array<long>, print binary")
 
 
 def merged(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -139,27 +144,34 @@ def merged(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return now
 
 
-def across(rest: DataFrame) -> DataFrame:
-    """Pairs of different labels within the radius, of rows (key, rid, label, sig): each key's rows are
-    dealt by hash to blocks, and pairs of blocks are compared apart from each other."""
+def across(rest: DataFrame, least: int) -> DataFrame:
+    """Pairs of different labels that agree in ``least`` hashes, of rows (key, rid, label, sig, print). A key's members
+    outside of its largest label are dealt to blocks, and so are all its members; each task compares one block of
+    either kind. A pair comes out under the first key that it shares."""
 
     def run(key, t):
-        found = [(np.empty(0, np.int64),) * 2]
-        rid, label, block = (t.column(c).to_numpy() for c in ("rid", "label", "block"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, K)
-        for i in range(len(rid)):
-            other = (label != label[i]) & (rid > rid[i]) & ((block != block[i]) | (key[1].as_py() == key[2].as_py()))
-            at = np.flatnonzero(other)
-            at = at[(sig[at] != sig[i]).sum(axis=1) <= RADIUS]
+        out = t.column("outer").to_numpy()
+        rid, label, main = (t.column(c).to_numpy() for c in ("rid", "label", "main"))
+        prints = np.frombuffer(b"".join(t.column("print").to_pylist()), np.uint8).reshape(-1, PRINT)
+        keys = key_rows(np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, K)).view(np.int64)
+        inner, found = np.flatnonzero(~out), [(np.empty(0, np.int64),) * 2]
+        for i in np.flatnonzero(out):
+            at = inner[(label[inner] != label[i]) & ((label[inner] == main[i]) | (rid[inner] > rid[i]))]
+            at = at[(prints[at] == prints[i]).sum(axis=1) >= least]
             if len(at):
-                found.append((np.full(len(at), rid[i]), rid[at]))
+                first = (keys[at] == keys[i]).argmax(axis=1)
+                at = at[keys[i][first] == key[0].as_py()]
+                found.append((np.minimum(rid[i], rid[at]), np.maximum(rid[i], rid[at])))
         return pa.table({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([x for _, x in found])})
 
-    size = rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = rest.join(size, "key").withColumn("block", F.pmod(F.xxhash64("rid"), "blocks"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "with").alias("b1"), F.greatest("block", "with").alias("b2"), "block", "rid", "label", "sig")
-    return dealt.groupBy("key", "b1", "b2").applyInArrow(run, "a long, b long").distinct()
+    by_label = rest.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    size = by_label.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    size = size.select("key", "main", F.ceil(F.col("n") / BLOCK).alias("inners"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("outers"))
+    dealt = rest.join(size, "key").withColumns({"at": F.xxhash64("rid"), "zero": F.lit(0).cast("long")})
+    columns = ["key", "ob", "ib", "outer", "rid", "label", "main", "sig", "print"]
+    inner = dealt.withColumns({"ib": F.pmod("at", "inners"), "ob": F.explode(F.sequence("zero", F.col("outers") - 1)), "outer": F.lit(False)})
+    outer = dealt.filter("label <> main").withColumns({"ob": F.pmod("at", "outers"), "ib": F.explode(F.sequence("zero", F.col("inners") - 1)), "outer": F.lit(True)})
+    return inner.select(*columns).union(outer.select(*columns)).groupBy("key", "ob", "ib").applyInArrow(run, "a long, b long").distinct()
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -169,17 +181,20 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     reps = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", F.col("m.id").alias("rid"), F.col("m.sig").alias("sig"))
     reps = materialize(reps)
     keys = keyed(reps)
-    centre = keys.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).filter("low < high").select("key", F.col("low").alias("centre"))
-    shared = materialize(keys.join(centre, "key"))
-    star = shared.filter("rid <> centre").select(F.col("centre").alias("a"), F.col("rid").alias("b")).distinct()
+    many = keys.groupBy("key").agg(F.min("rid").alias("low"), F.max("rid").alias("high"), F.count(F.lit(1)).alias("n")).filter("low < high").select("key", "n")
+    shared = materialize(keys.join(many, "key"))
+    known = shared.groupBy("rid").agg(F.sum("n").alias("known"))
+    centre = shared.join(known, "rid").groupBy("key").agg(F.max_by("rid", F.struct("known", -F.col("rid"))).alias("centre"))
+    shared = materialize(shared.join(centre, "key").select("key", "rid", "centre"))
+    star = shared.filter("rid <> centre").select(F.least("centre", "rid").alias("a"), F.greatest("centre", "rid").alias("b")).distinct()
     full = materialize(full_sets(docs, words, shared.select("rid")).dropDuplicates())
     links = materialize(confirm(star, full, percent))
     # sets of rows that share an id are one document's
     label = merged(links)
     named = shared.join(label, "rid", "left").select("key", "rid", F.coalesce("label", "rid").alias("label"))
     open_keys = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    rest = named.join(open_keys, "key").join(reps.select("rid", "sig"), "rid")
-    more = materialize(confirm(across(rest), full, percent))
+    rest = named.join(open_keys, "key").join(reps.select("rid", "sig"), "rid").join(full.select("rid", "print"), "rid")
+    more = materialize(confirm(across(rest, LEAST * percent // 80), full, percent))
     if not more.isEmpty():
         label = merged(more, label)
     sets_of = reps.select("h1", "h2", "rid").join(label, "rid", "left").select("h1", "h2", F.coalesce("label", "rid").alias("component"))
@@ -187,3 +202,12 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     own = F.coalesce("component", "id")
     absent = lambda c: F.when(c != NO_ID, c)
     return out.select(absent(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), absent(own).alias("component_id"), (own == F.col("id")).alias("kept"))
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with the smallest id of their component, with all their columns; of equal rows one."""
+    gone = components(docs, words, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    rows, names = sheltered(docs, "doc_id", "text")
+    rows = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    again = F.row_number().over(Window.partitionBy("doc_id", text_hash()).orderBy("doc_id"))
+    return rows.withColumn("_again", again).filter("_again = 1").select(*names).toDF(*docs.columns)
