@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, mix64, shingles, slices, word_hashes
+from tessellar.llm.common import U, mix64, sheltered, shingles, slices, word_hashes
 
 BITS, RADIUS, WIDTH = 256, 76, 16
 BLOCKS = BITS // WIDTH
@@ -196,7 +196,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, words: int = 5, percent: int = 80, per_block: int = 4096) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    columns = docs.columns
+    rows, names = sheltered(docs, "text")
     for items in item_blocks(benchmark, per_block):
-        docs = scan(docs, items, columns, words, percent).filter(F.size("decon_found") == 0).select(*columns)
-    return docs
+        rows = scan(rows, items, [*names, "text"], words, percent).filter(F.size("decon_found") == 0).drop("decon_found")
+    return rows.select(*names).toDF(*docs.columns)

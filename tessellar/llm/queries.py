@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessellar.llm import chat, common, decontam, linededup, lm, mixing, neardup, quality, runindex, toxicity, warc
 
 
@@ -73,6 +72,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc, pipeline)}
 
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

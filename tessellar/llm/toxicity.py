@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, slices, span_hash, prefix, sum_slices, words
+from tessellar.llm.common import U, prefix, sheltered, slices, span_hash, sum_slices, words
 
 BUCKETS = 1 << 20
 SLICES = 16
@@ -263,4 +263,5 @@ def score(docs: DataFrame, labels: DataFrame, spans: bool = True) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the scan doesn't predict to be toxic, with all their columns."""
-    return scan(docs, fit(docs, labels), docs.columns).filter("tox_score < 0.5").select(*docs.columns)
+    rows, names = sheltered(docs, "text")
+    return scan(rows, fit(docs, labels), names).filter("tox_score < 0.5").select(*names).toDF(*docs.columns)
