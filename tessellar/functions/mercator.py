@@ -28,7 +28,8 @@ def whole(c: Column) -> Column:
 
 
 def clamp_lat(lat: ColumnOrName) -> Column:
-    return F.greatest(F.lit(-LAT_LIMIT), F.least(F.lit(LAT_LIMIT), _col(lat)))
+    """Null falls to the southern limit."""
+    return F.least(F.lit(LAT_LIMIT), F.greatest(F.lit(-LAT_LIMIT), _col(lat)))
 
 
 def tile_x(lng: ColumnOrName, z: int) -> Column:

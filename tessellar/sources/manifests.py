@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,9 @@ def read_json(spark: SparkSession, path: str | list[str], schema: str, missing_o
     """Rows of JSON arrays or objects, or of ``lines`` with an object each; text that isn't JSON gives none, and so does a missing file unless
     ``missing_ok`` is false."""
     try:
-        df = spark.read.schema(f"{schema}, _bad string").option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-        return df.filter(F.col("_bad").isNull()).drop("_bad")
+        df = spark.read.schema(schema).option("multiLine", not lines).option("mode", "PERMISSIVE").json(path)
+        # what can't be parsed comes as a row of nulls
+        return df.filter(reduce(or_, [F.col(c).isNotNull() for c in df.columns]))
     except Exception as e:
         if not missing_ok or "PATH_NOT_FOUND" not in str(e):
             raise
