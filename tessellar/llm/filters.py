@@ -21,13 +21,13 @@ def places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & U(BITS - 1)).astype(np.int64), (h >> U(39)).astype(np.int64)
 
 
-def id_filter(df: DataFrame, col: str, fan: int = 64):
-    """A broadcast of the bits for the ids in a column."""
+def id_filter(df: DataFrame, *cols: str, key=None, fan: int = 64):
+    """A broadcast of the bits for the ids in a column, or for what ``key`` makes of several."""
 
     def fill(batches):
         bits = np.zeros(BITS >> 3, np.uint8)
         for b in batches:
-            for p in places(b.column(0).to_numpy()):
+            for p in places(b.column(0).to_numpy() if key is None else key(*(c.to_numpy() for c in b.columns))):
                 np.bitwise_or.at(bits, p >> 3, np.uint8(1) << (p & 7).astype(np.uint8))
         if bits.any():
             n = len(bits) // SLICES
@@ -42,7 +42,7 @@ def id_filter(df: DataFrame, col: str, fan: int = 64):
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "part", "payload"])
 
     schema = "slice int, part int, payload binary"
-    parts = df.select(F.col(col).cast("long")).mapInArrow(fill, schema)
+    parts = df.select(*[F.col(c).cast("long") for c in cols]).mapInArrow(fill, schema)
     both = parts.groupBy("slice", "part").applyInArrow(join, schema).groupBy("slice").applyInArrow(join, schema)
     got = {r["slice"]: bytes(r["payload"]) for r in both.collect()}
     empty = bytes((BITS >> 3) // SLICES)

@@ -4,36 +4,50 @@ A line's set holds its distinct lower-case words. Words are ordered by rarity: b
 a sketch over all lines, then by hash; any such order is the same for all lines, which is all that the filters need. Two
 sets with Jaccard similarity of at least t share a word within their first ``n - ceil(t n) + 1`` words, at places that leave
 room for the overlap, and their sizes differ by no more than t allows. Lines that share a prefix word are
-compared by these filters and by bit maps of their words, whose difference bounds the overlap from above; pairs
-that pass all three are verified on their full sets. No filter drops a similar pair.
-
-A line goes if any line before it, in the order of (doc_id, row, line number), is that similar, whether or not that
-one goes too. Lines of fewer than ``min_words`` words stay and aren't compared; so do lines without words, null and empty
-texts. Rows that share an id are told apart by the hash of the text; wholly equal rows count as one row's
-lines, and lose the same. Rows without an id come first in order.
+compared by these filters and by bit maps of their words, whose difference bounds the overlap from above. No filter drops a
+similar pair.
+
+A line goes if any line before it is that similar, whether or not that one goes too; lines are ordered by (doc_id,
+number in the text). So a line needs one match among those before it. Round one verifies its likeliest partner by bit maps
+of 64 bits on their full sets. Lines for which that fails and that have other partners go through round two, whose bit maps have
+512 bits, and what is then left through round three, which verifies all partners. Rows written grow with the
+lines, and with pairs only in round three.
+
+Lines of fewer than ``min_words`` words stay and aren't compared; so do lines without words, null and empty
+texts. Rows that share an id are told apart by the hash of the text, and lines of equal number by the hash of theirs; wholly
+equal rows count as one row's lines, and lose the same. Rows without an id come first in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, mix64, slices, span_hash, prefix, sum_slices, text_hash, words
+from tessellar.llm.common import U, materialize, mix64, prefix, sheltered, slices, small_batches, span_hash, sum_slices, text_hash, words
 from tessellar.llm.filters import id_filter, maybe
 
-SKETCH = 1 << 17
+SKETCH_BITS = 17
+SKETCH = 1 << SKETCH_BITS
 SLICES = 8
-#: lines of a word's group that are compared at a time
+NO_ID = -(1 << 63)
+#: lines of a word's group that are compared at a time, lines of a word from which blocks of them are, and entries that a
+#: task gathers before it puts such words aside
 BLOCK = 2048
 HOT = 16_384
+LIMIT = 2_000_000
+MAPS = 8
+M = [f"m{i}" for i in range(MAPS)]
 
 
 def lines(data: np.ndarray, off: np.ndarray, min_words: int):
-    """(hashes of all words, first word of each line, row, number in the row) of lines long enough."""
+    """(hashes of all words, first word of each line, word after its last, row, number in the row) of lines long
+    enough."""
     s, e, first = words(data, off)
     h = span_hash(prefix(data, True), s, e)
     n = len(off) - 1
@@ -67,33 +81,53 @@ def identity(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     start = np.cumsum(b - a) - (b - a)
     one = mix64(h[at] * U(0xD6E8FEB86659FD93) + place * U(0x9E3779B97F4A7C15))
     two = mix64(h[at] ^ (place * U(0xC2B2AE3D27D4EB4F)))
-    add = lambda x: np.add.reduceat(x, start).view(np.int64) if len(start) else np.empty(0, np.int64)
-    return add(one), add(two)
+    each = lambda x: np.add.reduceat(x, start).view(np.int64) if len(start) else np.empty(0, np.int64)
+    return each(one), each(two)
 
 
-def sketch(docs: DataFrame, min_words: int):
-    """A broadcast of the counts of hashed words over all lines."""
+def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, th, line, k1, k2) of all lines; and, with a slice number instead, what each task adds to the
+    sketch of word counts."""
 
     def run(batches):
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            for _, _, data, off in slices(batch.column("text")):
-                h, a, b, _, _ = lines(data, off, min_words)
+            for lo, _, data, off in slices(batch.column("text")):
+                h, a, b, row, number = lines(data, off, min_words)
+                if not len(a):
+                    continue
                 total += np.bincount((h[runs(a, b)[0]] & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                k1, k2 = identity(h, a, b)
+                at = pa.array(row + lo)
+                none = pa.nulls(len(row), pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(number), pa.array(k1), pa.array(k2), none, none, pa.nulls(len(row), pa.binary())], NAMES)
         if total.any():
-            part = [int(total.sum()) % 64] * SLICES
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(part, pa.int32()), pa.array([x.tobytes() for x in np.split(total, SLICES)], pa.binary())], ["slice", "part", "payload"])
+            parts = pa.array([x.tobytes() for x in np.split(total, SLICES)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.nulls(SLICES, pa.int64())] * 5 + [pa.array(range(SLICES), pa.int32()), pa.array([int(total.sum()) % 64] * SLICES, pa.int32()), parts], NAMES)
+
+    return docs.mapInArrow(run, "doc_id long, th long, line long, k1 long, k2 long, slice int, part int, payload binary")
+
+
+NAMES = ["doc_id", "th", "line", "k1", "k2", "slice", "part", "payload"]
+
 
-    got = {r["slice"]: r["payload"] for r in sum_slices(docs.select("text").mapInArrow(run, "slice int, part int, payload binary"), "i8").collect()}
-    zero = bytes(8 * SKETCH // SLICES)
-    return docs.sparkSession.sparkContext.broadcast(np.frombuffer(b"".join(bytes(got.get(i, zero)) for i in range(SLICES)), np.int64))
+def gathered(rows: DataFrame):
+    """A broadcast of the rank of each sketch bucket by count, and the number of words."""
+    counts = {r["slice"]: bytes(r["payload"]) for r in sum_slices(rows.filter("slice is not null").select("slice", "part", "payload"), "i8").collect()}
+    total = np.frombuffer(b"".join(counts.get(i, bytes(8 * SKETCH // SLICES)) for i in range(SLICES)), np.int64)
+    rank = np.empty(SKETCH, U)
+    rank[np.argsort(total, kind="stable")] = np.arange(SKETCH, dtype=U)
+    return rows.sparkSession.sparkContext.broadcast(rank), int(total.sum())
 
 
-def ordered(h: np.ndarray, a: np.ndarray, b: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct words of each line, rarest first, and the first of each line (the count at the end)."""
+def ordered(h: np.ndarray, a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each line, rarest first, and the first of each line (the count at the end). A word is
+    given as its place in the order of rarity, a one-to-one change of its hash."""
     at, line = runs(a, b)
     w = h[at]
-    order = np.lexsort((w, counts[(w & U(SKETCH - 1)).astype(np.int64)], line))
+    w = (rank[(w & U(SKETCH - 1)).astype(np.int64)] << U(64 - SKETCH_BITS)) | (w >> U(SKETCH_BITS))
+    order = np.argsort(w)
+    order = order[np.argsort(line[order].astype(np.uint16 if len(a) < 1 << 16 else np.int64), kind="stable")]
     w, line = w[order], line[order]
     new = np.ones(len(w), bool)
     new[1:] = (w[1:] != w[:-1]) | (line[1:] != line[:-1])
@@ -101,10 +135,10 @@ def ordered(h: np.ndarray, a: np.ndarray, b: np.ndarray, counts: np.ndarray) ->
     return w, np.searchsorted(line, np.arange(len(a) + 1))
 
 
-def fresh(seen: set, k1: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+def fresh(seen: set, keys: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
     """Which keys this task hasn't met; it forgets now and then, and what it repeats does no harm."""
-    out = np.zeros(len(k1), bool)
-    for i, x in enumerate(k1.tolist()):
+    out = np.zeros(len(keys), bool)
+    for i, x in enumerate(keys.tolist()):
         if x not in seen:
             seen.add(x)
             out[i] = True
@@ -113,169 +147,315 @@ def fresh(seen: set, k1: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
     return out
 
 
-def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for lo, hi, data, off in slices(batch.column("text")):
-                h, a, b, row, number = lines(data, off, min_words)
-                k1, k2 = identity(h, a, b)
-                at = pa.array(row + lo)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(number), pa.array(k1), pa.array(k2)], ["doc_id", "th", "line", "k1", "k2"])
+#: columns of an entry, a line under one of its prefix words; doc_id and line are its place in the order. Its bit maps follow
+ENTRY = [("word", np.int64), ("k1", np.int64), ("doc_id", np.int64), ("n", np.int32), ("place", np.int32), ("line", np.int32)]
+WIDE = 8
 
-    return docs.mapInArrow(run, "doc_id long, th long, line long, k1 long, k2 long")
 
+def columns(maps: int) -> list[tuple[str, type]]:
+    return [*ENTRY, *((f"m{i}", np.int64) for i in range(maps))]
 
-def prefix_rows(docs: DataFrame, min_words: int, percent: int, shared) -> DataFrame:
-    """(word, k1, n, place, bits) for the prefix of each line."""
+
+def packed(cols: list[np.ndarray]) -> bytes:
+    """Columns as bytes, the like bytes of all values together, so that those that hardly vary take no room."""
+    n = len(cols[0])
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(n, -1).T) for c in cols]
+    return squeezed(b"".join(p.tobytes() for p in planes))
+
+
+def squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(payload: bytes, maps: int) -> list[np.ndarray]:
+    kinds = columns(maps)
+    raw = np.frombuffer(pa.decompress(payload[8:], int.from_bytes(payload[:8], "little"), codec="zstd"), np.uint8)
+    n, at, out = len(raw) // sum(np.dtype(t).itemsize for _, t in kinds), 0, []
+    for _, t in kinds:
+        w = np.dtype(t).itemsize
+        out.append(np.ascontiguousarray(raw[at : at + w * n].reshape(w, n).T).view(t).ravel())
+        at += w * n
+    return out
+
+
+def prefix_rows(docs: DataFrame, min_words: int, percent: int, rank, buckets: int, maps: int = 1, words_of=None, met_of=None) -> DataFrame:
+    """(bucket, payload): the entries of each line's prefix, packed by a bucket of the word; ``words_of`` and ``met_of``: filters
+    on the words, and on words with lines."""
 
     def run(batches):
-        seen: set = set()
+        seen: dict = {}
+        held: list[list] = []
+        size = 0
+
+        def flush():
+            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            bucket = (mix64(cols[0].view(U).copy()) % U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, cols = bucket[order], [c[order] for c in cols]
+            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            for lo in range(0, len(cut), 64):
+                some = cut[lo : lo + 64].tolist()
+                ends = cut[lo + 1 : lo + 65].tolist()
+                ends += [len(bucket)] * (len(some) - len(ends))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[some]), pa.array([packed([c[x:y] for c in cols]) for x, y in zip(some, ends, strict=True)], pa.binary())], ["bucket", "payload"])
+
         for batch in batches:
-            for _, _, data, off in slices(batch.column("text")):
-                h, a, b, _, _ = lines(data, off, min_words)
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            for lo, _, data, off in slices(batch.column("text")):
+                h, a, b, row, number = lines(data, off, min_words)
                 k1, _ = identity(h, a, b)
-                new = fresh(seen, k1)
-                k1, a, b = k1[new], a[new], b[new]
+                doc = ids[row + lo]
+                new = np.zeros(len(k1), bool)
+                for i, (x, y) in enumerate(zip(k1.tolist(), zip(doc.tolist(), number.tolist(), strict=True), strict=True)):
+                    if x not in seen or seen[x] > y:
+                        seen[x], new[i] = y, True
+                if len(seen) > 1 << 20:
+                    seen.clear()
+                k1, a, b, doc, number = k1[new], a[new], b[new], doc[new], number[new]
                 if not len(k1):
                     continue
-                w, begin = ordered(h, a, b, shared.value)
+                w, begin = ordered(h, a, b, rank.value)
                 n = np.diff(begin)
-                bits = np.bitwise_xor.reduceat(U(1) << (w >> U(58)), begin[:-1]).view(np.int64)
-                size = n + (-n * percent // 100) + 1  # n - ceil(n * percent / 100) + 1
-                at, line = runs(begin[:-1], begin[:-1] + size)
-                yield pa.RecordBatch.from_arrays([pa.array(w[at].view(np.int64)), pa.array(k1[line]), pa.array(n[line].astype(np.int32)), pa.array((at - begin[line]).astype(np.int32)), pa.array(bits[line])], ["word", "k1", "n", "place", "bits"])
-
-    return docs.select("text").mapInArrow(run, "word long, k1 long, n int, place int, bits long")
-
-
-def compare(rows: np.ndarray, others: np.ndarray, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of pairs of rows (k1, n, place, bits) that pass all filters; ``same``: both are one list."""
-    (k, n, p, m), (k2, n2, p2, m2) = rows, others
-    small, large = np.minimum(n[:, None], n2), np.maximum(n[:, None], n2)
-    ok = small * 100 >= large * percent
+                bits = [np.bitwise_xor.reduceat(np.where((w >> U(6)) % U(maps) == U(i), U(1) << (w & U(63)), U(0)), begin[:-1]).view(np.int64) for i in range(maps)]
+                at, line = runs(begin[:-1], begin[:-1] + n + (-n * percent // 100) + 1)  # n - ceil(n * percent / 100) + 1
+                if words_of is not None:
+                    ok = maybe(words_of.value, w[at].view(np.int64))
+                    at, line = at[ok], line[ok]
+                    ok = maybe(met_of.value, incidence(w[at].view(np.int64), k1[line]))
+                    at, line = at[ok], line[ok]
+                held.append([w[at].view(np.int64), k1[line], doc[line], n[line].astype(np.int32), (at - begin[line]).astype(np.int32), number[line].astype(np.int32), *(m[line] for m in bits)])
+                size += len(at)
+                if size > 1_000_000:
+                    yield from flush()
+                    held, size = [], 0
+        if size:
+            yield from flush()
+
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket long, payload binary")
+
+
+def incidence(word: np.ndarray, k1: np.ndarray) -> np.ndarray:
+    """A key of a line under a word."""
+    return mix64(word.view(U) * U(0x9E3779B97F4A7C15) + k1.view(U)).view(np.int64)
+
+
+def compare(rows, others, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(later, earlier, likeness): pairs of rows (k1, n, place, bits, order) and others that pass all filters, as numbers
+    by ``order``; ``same``: both are one list."""
+    (k, n, p, m, o), (k2, n2, p2, m2, o2) = rows, others
     total = n[:, None] + n2
     need = -(-total * percent // (100 + percent))
-    # the words up to the shared one have one word in common at least, and those after it the shorter rest at most
-    ok &= 1 + np.minimum(p[:, None], p2) + np.minimum((n - p)[:, None], n2 - p2) - 1 >= need
-    ok &= (total - np.bitwise_count((m[:, None] ^ m2).view(U)).astype(np.int64)) // 2 >= need
+    ok = np.minimum(n[:, None], n2) * 100 >= np.maximum(n[:, None], n2) * percent
+    # words before the shared one, that one, and those after it: at most the shorter of each
+    ok &= np.minimum(p[:, None], p2) + np.minimum((n - p)[:, None], n2 - p2) >= need
+    differ = sum(np.bitwise_count((m[:, None, i] ^ m2[:, i]).view(U)).astype(np.int64) for i in range(m.shape[1]))
+    ok &= (total - differ) // 2 >= need
     ok &= k[:, None] != k2
     if same:
         ok &= np.arange(len(k))[:, None] < np.arange(len(k2))
-    return np.nonzero(ok)
-
-
-def pairs_of(k, n, p, m, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one word's group, sorted by n; a block of rows at a time meets the sizes that it can match."""
-    for a in range(0, len(k), BLOCK):
-        b = min(a + BLOCK, len(k))
-        own = (k[a:b], n[a:b], p[a:b], m[a:b])
-        i, j = compare(own, own, percent, True)
-        yield k[a:b][i], k[a:b][j]
-        end = int(np.searchsorted(n, n[b - 1] * 100 // percent, "right"))
-        for c in range(b, end, BLOCK):
-            d = min(c + BLOCK, end)
-            i, j = compare(own, (k[c:d], n[c:d], p[c:d], m[c:d]), percent, False)
-            yield k[a:b][i], k[c:d][j]
-
-
-def grouped(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each word's group, the smaller first; the rows of groups above ``HOT`` come out as they are, for
-    ``dealt``."""
-    names = ["kind", "word", "a", "b", "n", "place", "bits"]
-
-    def out(kind, word, a, b, n, place, bits):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(word), pa.array(a), pa.array(b), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(bits)], names)
-
-    def work(cols):
-        """Pairs of whole groups that lie together."""
-        w, k, n, p, m = cols
-        cut = np.flatnonzero(np.diff(w)) + 1
-        begin, end = np.concatenate(([0], cut)), np.append(cut, len(w))
-        size = end - begin
-        found = []
-        two = begin[size == 2]
-        if len(two):
-            # most groups: all at once
-            x = [(c[two], c[two + 1]) for c in (k, n, p, m)]
-            (ka, kb), (na, nb), (pa_, pb), (ma, mb) = x
-            total, small, large = na + nb, np.minimum(na, nb), np.maximum(na, nb)
-            need = -(-total * percent // (100 + percent))
-            ok = (small * 100 >= large * percent) & (np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb) >= need)
-            ok &= ((total - np.bitwise_count((ma ^ mb).view(U)).astype(np.int64)) // 2 >= need) & (ka != kb)
-            found.append((ka[ok], kb[ok]))
-        for a, b in zip(begin[size > 2].tolist(), end[size > 2].tolist(), strict=True):
-            _, one = np.unique(k[a:b], return_index=True)
-            one = np.sort(one) + a
-            found += pairs_of(k[one], n[one], p[one], m[one], percent)
-        if found:
-            x, y = (np.concatenate(z) for z in zip(*found, strict=True))
-            z = np.zeros(len(x), np.int64)
-            xy = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), axis=1), axis=0)
-            z = np.zeros(len(xy), np.int64)
-            yield out(0, z, xy[:, 0], xy[:, 1], z, z, z)
-
-    def run(batches):
-        held, hot = None, None
-        for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(5)]
-            cols[2], cols[3] = cols[2].astype(np.int64), cols[3].astype(np.int64)
-            if held is not None:
-                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            w = cols[0]
-            if not len(w):
+    i, j = np.nonzero(ok)
+    x, y = o[i], o2[j]
+    return np.maximum(x, y), np.minimum(x, y), 1 - differ[i, j] / total[i, j]
+
+
+def likeliest(later: np.ndarray, earlier: np.ndarray, like: np.ndarray):
+    """Of pairs, the likeliest for each later one (the earliest of equals), and whether it has more."""
+    order = np.lexsort((-earlier, like, later))
+    later, earlier, like = later[order], earlier[order], like[order]
+    last = np.flatnonzero(np.append(later[1:] != later[:-1], True)) if len(later) else later
+    return later[last], earlier[last], like[last], np.diff(np.append(-1, last)) > 1
+
+
+def crowd(k, bits, n, p, percent: int, every_one: bool, probe=None, side=None):
+    """(later, earlier, likeness, more, which rows met another) within a large group, whose rows come in order; block by block by size.
+    ``probe``: partners of these rows only, ``every_one`` of them; ``side``: (0 or 1 for each row) pairs only across the two."""
+    number = np.arange(len(k))
+    by = np.lexsort((number, n))
+    lists = [by] if side is None else [by[side[by] == x] for x in (0, 1)]
+    first, second = (tuple(x[at] for x in (k, n, p, bits, number)) for at in (lists[0], lists[-1]))
+    best, like, count, every = np.full(len(k), -1), np.full(len(k), -1.0), np.zeros(len(k), np.int64), []
+    met = np.zeros(len(k), bool)
+    for a in range(0, len(first[0]), BLOCK):
+        own = tuple(x[a : a + BLOCK] for x in first)
+        start = a if side is None else int(np.searchsorted(second[1], -(-own[1][0] * percent // 100)))
+        end = int(np.searchsorted(second[1], own[1][-1] * 100 // percent, "right"))
+        for c in range(start, end, BLOCK):
+            x, y, s = compare(own, tuple(v[c : min(c + BLOCK, end)] for v in second), percent, side is None and c == a)
+            met[x], met[y] = True, True
+            if probe is not None:
+                x, y, s = x[probe[x]], y[probe[x]], s[probe[x]]
+            if every_one:
+                every.append((x, y))
                 continue
-            last = int(np.searchsorted(w, w[-1]))
-            if hot is not None and w[0] == hot:
-                stop = int(np.searchsorted(w, hot, "right"))
-                yield out(1, w[:stop], cols[1][:stop], cols[1][:stop], cols[2][:stop], cols[3][:stop], cols[4][:stop])
-                cols = [c[stop:] for c in cols]
-                w, last = cols[0], max(0, last - stop)
-                if not len(w):
-                    held = None
-                    continue
-            yield from work([c[:last] for c in cols]) if last else ()
-            held = [c[last:] for c in cols]
-            if len(held[0]) > HOT:
-                hot = held[0][0]
-                yield out(1, held[0], held[1], held[1], held[2], held[3], held[4])
-                held = None
-        if held is not None and len(held[0]):
-            yield from work(held)
-
-    rows = rows.repartition("word").sortWithinPartitions("word", "n", "k1")
-    return rows.mapInArrow(run, "kind int, word long, a long, b long, n int, place int, bits long")
-
+            count += np.bincount(x, minlength=len(k))
+            x, y, s, _ = likeliest(x, y, s)
+            up = s > like[x]
+            best[x[up]], like[x[up]] = y[up], s[up]
+    if every_one:
+        x, y = (np.concatenate(z) for z in zip(*every, strict=True)) if every else (number[:0],) * 2
+        return x, y, np.zeros(len(x)), np.zeros(len(x), bool), met
+    x = np.flatnonzero(best >= 0)
+    return x, best[x], like[x], count[x] > 1, met
+
+
+def whole_groups(cols: list[np.ndarray], percent: int, every_one: bool, probes=None):
+    """(word, later k1, earlier k1, likeness, more) of entries sorted by (word, doc_id, line, k1), each line once a word:
+    the likeliest partner of each line in each group, or ``every_one``; of the lines in ``probes`` only. And (word, k1) of the
+    lines that met another."""
+    w, k, _, n, p, _, *maps = cols
+    bits = np.stack(maps, axis=1)
+    if not len(w):
+        return [np.empty(0, t) for t in (np.int64, np.int64, np.int64, float, bool)], (w, k)
+    n, p = n.astype(np.int64), p.astype(np.int64)
+    begin = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+    size = np.diff(np.append(begin, len(w)))
+    probe = None if probes is None else maybe(probes.value, k)
+    small, found = 48, []
+    # groups of a few: all pairs at one distance at a time
+    of = np.repeat(size, size)
+    place = np.arange(len(w)) - np.repeat(begin, size)
+    little = np.flatnonzero((of > 1) & (of <= small))
+    for d in range(1, int(of[little].max(initial=1))):
+        little = little[of[little] > d]
+        i = little[place[little] + d < of[little]]
+        if probe is not None:
+            i = i[probe[i + d]]
+        j = i + d
+        total = n[i] + n[j]
+        need = -(-total * percent // (100 + percent))
+        ok = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
+        ok &= np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j]) >= need
+        i, j, total, need = i[ok], j[ok], total[ok], need[ok]
+        differ = sum(np.bitwise_count((m[i] ^ m[j]).view(U)).astype(np.int64) for m in maps)
+        ok = (total - differ) // 2 >= need
+        found.append((j[ok], i[ok], 1 - differ[ok] / total[ok]))
+    x, y, s = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    met = np.zeros(len(w), bool)
+    met[x], met[y] = True, True
+    more = np.zeros(len(x), bool)
+    if not every_one:
+        x, y, s, more = likeliest(x, y, s)
+    out = [(w[x], k[x], k[y], s, more)]
+    for a, m in zip(begin[size > small].tolist(), size[size > small].tolist(), strict=True):
+        b = a + m
+        x, y, s, more, met[a:b] = crowd(k[a:b], bits[a:b], n[a:b], p[a:b], percent, every_one, None if probe is None else probe[a:b])
+        out.append((np.full(len(x), w[a]), k[a:b][x], k[a:b][y], s, more))
+    return [np.concatenate(z) for z in zip(*out, strict=True)], (w[met], k[met])
+
+
+def in_order(cols: list[np.ndarray]) -> list[np.ndarray]:
+    """Entries of words that have two or more, sorted by word and place, each line once a word, at its first place."""
+    order = np.argsort(cols[0])
+    w = cols[0][order]
+    new = np.append(True, w[1:] != w[:-1])
+    group = np.cumsum(new) - 1
+    several = np.bincount(group)[group] > 1
+    order, group = order[several], group[several]
+    w, k, doc, n, p, line, *_ = cols = [c[order] for c in cols]
+    if not len(w):
+        return cols
+    ids, row = np.unique(doc, return_inverse=True)
+    widths = [int(x).bit_length() for x in (group[-1], len(ids), line.max())]
+    if sum(widths) < 64:
+        order = np.argsort((group.astype(U) << U(widths[1] + widths[2])) | (row.astype(U) << U(widths[2])) | line.astype(U), kind="stable")
+        order = order if not _tied(group[order], row[order], line[order]) else np.lexsort((k, line, row, group))
+    else:
+        order = np.lexsort((k, line, row, group))
+    cols, group = [c[order] for c in cols], group[order]
+    both = mix64(cols[1].view(U) + group.astype(U) * U(0x9E3779B97F4A7C15))
+    every = np.sort(both)
+    if (every[1:] == every[:-1]).any():
+        first = np.sort(np.unique(both, return_index=True)[1])
+        cols = [c[first] for c in cols]
+    return cols
+
+
+def _tied(*cols: np.ndarray) -> bool:
+    return bool(np.logical_and.reduce([c[1:] == c[:-1] for c in cols]).any())
+
+
+MET = ["word", "a", "b", "more", "likeness", "payload"]
+
+
+def grouped(rows: DataFrame, percent: int, maps: int = 1, every_one: bool = False, probes=None) -> DataFrame:
+    """(word, later a, earlier b, more, likeness) of each word's group, and (word, a) alone for lines that are only
+    somebody's partners; the entries of words with more than ``HOT``
+    come out packed instead (payload), for ``dealt``. A task holds no more than the entries of words that aren't hot."""
+
+    def hot_rows(cols):
+        for lo in range(0, len(cols[0]), 1 << 16):
+            part = packed([c[lo : lo + (1 << 16)] for c in cols])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.float64())), pa.array([part], pa.binary())], MET)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = []
+        size, hot = 0, np.empty(0, np.int64)
+
+        def fold():
+            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+            word, n = np.unique(cols[0], return_counts=True)
+            over = np.union1d(hot, word[n > HOT])
+            return cols, over, np.isin(cols[0], over)
 
-def dealt(hot: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups too large for a task: a word's rows are dealt by hash to blocks within classes of
-    nearly equal size, and each pair of blocks whose sizes can match is a task."""
+        for batch in batches:
+            for x in batch.column("payload"):
+                held.append(unpacked(x.as_py(), maps))
+                size += len(held[-1][0])
+                if size > LIMIT:
+                    cols, hot, full = fold()
+                    if full.any():
+                        yield from hot_rows([c[full] for c in cols])
+                    held = [[c[~full] for c in cols]]
+                    size = len(held[0][0])
+        cols, hot, full = fold()
+        if full.any():
+            yield from hot_rows([c[full] for c in cols])
+        if full.all():
+            return
+        pairs, (w, k) = whole_groups(in_order([c[~full] for c in cols]), percent, every_one, probes)
+        if len(pairs[0]):
+            alone = ~np.isin(incidence(w, k), incidence(pairs[0], pairs[1])) & (not every_one)
+            n = int(alone.sum())
+            x, a, b, like, more = (pa.array(x) for x in pairs)
+            yield pa.RecordBatch.from_arrays([x, a, b, more, like, pa.nulls(len(x), pa.binary())], MET)
+            yield pa.RecordBatch.from_arrays([pa.array(w[alone]), pa.array(k[alone]), *(pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.float64(), pa.binary()))], MET)
+
+    return rows.groupBy("bucket").applyInArrow(run, "word long, a long, b long, more boolean, likeness double, payload binary")
+
+
+def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False, probes=None) -> DataFrame:
+    """(word, a, b, more, likeness) of words too common for a task: their entries are dealt by hash to blocks, and each pair
+    of blocks is a task."""
 
     def run(key, t):
-        block, k, n, p, m = (t.column(c).to_numpy().astype(np.int64) for c in ("own", "k1", "n", "place", "bits"))
-        first = block == min(block)
-        rows = [(k[x], n[x], p[x], m[x]) for x in (first, ~first)]
-        found = [(np.empty(0, np.int64),) * 2]
+        cols = [t.column(c).to_numpy() for c in ("k1", "bits", "doc_id", "n", "place", "line", "own")]
+        order = np.lexsort((cols[0], cols[5], cols[2]))
+        k, bits, _, n, p, _, own = (c[order] for c in cols)
         lone = key[1].as_py() == key[2].as_py()
-        for a in range(0, len(rows[0][0]), BLOCK):
-            one = tuple(c[a : a + BLOCK] for c in rows[0])
-            other = rows[0] if lone else rows[1]
-            for b in range(a if lone else 0, len(other[0]), BLOCK):
-                two = tuple(c[b : b + BLOCK] for c in other)
-                i, j = compare(one, two, percent, lone and a == b)
-                found.append((one[0][i], two[0][j]))
-        x, y = (np.concatenate(z) for z in zip(*found, strict=True))
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-    one = hot.select("word", F.col("a").alias("k1"), "n", "place", "bits").dropDuplicates(["word", "k1"])
+        probe = None if probes is None else maybe(probes.value, k)
+        x, y, s, _, met = crowd(k, bits, n, p, percent, every_one, probe, None if lone else (own == key[2].as_py()).astype(int))
+        met = np.setdiff1d(k[met], k[x])
+        w, none = np.full(len(x) + len(met), key[0].as_py()), pa.nulls(len(met), pa.int64())
+        # other pairs of blocks can hold more
+        return pa.table({"word": w, "a": np.append(k[x], met), "b": pa.chunked_array([pa.array(k[y]), none]), "more": np.ones(len(w), bool), "likeness": np.append(s, np.zeros(len(met)))})
+
+    def loose(batches):
+        for batch in batches:
+            for x in batch.column("payload"):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in unpacked(x.as_py(), maps)], [c for c, _ in columns(maps)])
+
+    hot = hot.select("payload").mapInArrow(loose, ", ".join(f"{c} {'long' if t is np.int64 else 'int'}" for c, t in columns(maps)))
+    first = F.row_number().over(Window.partitionBy("word", "k1").orderBy("doc_id", "line"))
+    one = hot.withColumn("_n", first).filter("_n = 1").drop("_n")
     many = one.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).alias("blocks"))
     one = one.join(many, "word").withColumn("own", F.pmod(F.xxhash64("k1"), "blocks"))
     one = one.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    one = one.select("word", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "k1", "n", "place", "bits")
-    return one.groupBy("word", "b1", "b2").applyInArrow(run, "a long, b long")
+    one = one.select("word", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", *[c for c, _ in columns(maps)[1:]])
+    return one.groupBy("word", "b1", "b2").applyInArrow(run, "word long, a long, b long, more boolean, likeness double")
 
 
 def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
-    """(k1, k2, s) of the lines that ``members`` (column k) names; a few others may be among them."""
+    """(k1, k2, words) of the lines that ``members`` (column k) names; a few others may be among them."""
     bits = id_filter(members, "k")
 
     def run(batches):
@@ -288,40 +468,65 @@ def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
                 at = at[fresh(seen, k1[at])]
                 if len(at):
                     s = [np.unique(h[x:y]).view(np.int64) for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "s"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "words"])
+
+    return docs.select("text").mapInArrow(run, "k1 long, k2 long, words array<long>")
+
 
-    return docs.select("text").mapInArrow(run, "k1 long, k2 long, s array<long>").dropDuplicates(["k1", "k2"])
+def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(a, a2, b, b2) of the pairs whose words are similar enough."""
+    one, two = (full.select(F.col("k1").alias(x), F.col("k2").alias(f"{x}2"), F.col("words").alias(f"s{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "a2", "b", "b2").distinct()
 
 
 def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 5) -> DataFrame:
     """(doc_id, th, line) of the lines to remove."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"))
-    all_lines = materialize(line_rows(docs, min_words))
-    shared = sketch(docs, min_words)
-    met = materialize(grouped(prefix_rows(docs, min_words, percent, shared), percent))
-    near = met.filter("kind = 0").select("a", "b").union(dealt(met.filter("kind = 1"), percent)).distinct()
-    near = materialize(near)
-    full = materialize(line_sets(docs, min_words, near.select(F.explode(F.array("a", "b")).alias("k"))))
-    one, two = (full.select(F.col("k1").alias(x), F.col("k2").alias(f"{x}2"), F.col("s").alias(f"s{x}")) for x in "ab")
-    both = near.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    links = both.filter(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("a", "a2", "b", "b2")
-    links = materialize(links)
-    place = F.struct("doc_id", "th", "line")
-    firsts = all_lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    ends = links.select("a", "a2", "b", "b2").union(links.select("b", "b2", "a", "a2"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    first_pass = materialize(line_rows(docs, min_words))
+    all_lines = first_pass.filter("slice is null").select("doc_id", "th", "line", "k1", "k2")
+    rank, n_words = gathered(first_pass)
+    buckets = max(64, n_words // 500_000)
+
+    links, rest, tried, met = None, None, None, None
+    for maps, every_one in ((1, False), (WIDE, False), (WIDE, True)):
+        only = () if rest is None else (id_filter(met.join(rest, "a", "left_semi"), "word"), id_filter(met, "word", "a", key=incidence))
+        probes = None if rest is None else id_filter(rest, "a")
+        out = materialize(grouped(prefix_rows(docs, min_words, percent, rank, buckets, maps, *only), percent, maps, every_one, probes))
+        met = out.filter("payload is null").select("word", "a", "b", "more", "likeness").union(dealt(out.filter("payload is not null"), percent, maps, every_one, probes))
+        pairs = met.filter("b is not null")
+        if every_one:
+            near = pairs.select("a", "b", F.lit(False).alias("more")).distinct()
+        else:
+            near = pairs.groupBy("a").agg(F.max_by("b", F.struct("likeness", F.bitwise_not("b"))).alias("b"), (F.max("more") | (F.max("b") != F.min("b"))).alias("more"))
+        near = near if tried is None else near.join(rest, "a", "left_semi")
+        near = materialize(near)
+        fresh_pairs = near.select("a", "b") if tried is None else near.select("a", "b").join(tried, ["a", "b"], "left_anti")
+        full = materialize(line_sets(docs, min_words, near.select(F.explode(F.array("a", "b")).alias("k"))))
+        now = verified(fresh_pairs, full, percent)
+        links = materialize(now if links is None else links.union(now))
+        rest = materialize(near.filter("more").select("a").join(links.select("a"), "a", "left_anti"))
+        tried = near.select("a", "b") if tried is None else materialize(tried.union(near.select("a", "b")))
+        if rest.isEmpty():
+            break
+    place = F.struct("doc_id", "line", "k1", "th")
+    # two lines of equal k1 but not k2 stay two: k2 is checked here
+    firsts = all_lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    ends = links.select(F.col("a").alias("k1"), F.col("a2").alias("k2"), "b", "b2")
     there = ends.join(firsts.select(F.col("k1").alias("b"), F.col("k2").alias("b2"), F.col("first").alias("other")), ["b", "b2"])
-    there = there.groupBy(F.col("a").alias("k1"), F.col("a2").alias("k2")).agg(F.min("other").alias("other"))
-    best = firsts.join(there, ["k1", "k2"], "left").withColumn("best", F.least("first", "other"))
-    best = best.filter("last > best").select("k1", "k2", "best")
-    return all_lines.join(best, ["k1", "k2"]).filter(F.struct("doc_id", "th", "line") > F.col("best")).select("doc_id", "th", "line")
+    there = there.groupBy("k1", "k2").agg(F.min("other").alias("other"))
+    best = firsts.join(there, ["k1", "k2"], "left").filter("n > 1 or other is not null").select("k1", "k2", F.least("first", "other").alias("best"))
+    return all_lines.join(best, ["k1", "k2"]).filter(place > F.col("best")).select("doc_id", "th", "line")
 
 
 def dedup(docs: DataFrame, percent: int = 80, min_words: int = 5) -> DataFrame:
-    """All columns of ``docs``, ``text`` without the lines that go, and ``line_removed``: their numbers."""
-    gone = later_lines(docs, percent, min_words).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).agg(F.sort_array(F.collect_set("line")).alias("line_removed"))
-    rows = docs.withColumn("_th", text_hash())
+    """All columns of ``docs``, ``text`` without the lines that go, and last the numbers of these (an array of longs)."""
+    gone = later_lines(docs, percent, min_words).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).agg(F.sort_array(F.collect_set("line")).alias("_gone"))
+    rows, names = sheltered(docs, "doc_id", "text")
+    rows = rows.withColumn("_th", text_hash())
     rows = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("_th").eqNullSafe(F.col("_h")), "left")
-    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("line_removed", i.cast("long"))), "\n")
-    text = F.when(F.col("line_removed").isNull(), F.col("text")).otherwise(rest)
-    removed = F.coalesce("line_removed", F.array().cast("array<long>")).alias("line_removed")
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns], removed)
+    rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
+    removed = F.coalesce("_gone", F.array().cast("array<long>"))
+    return rows.select(*[text if c == "text" else F.col(n) for c, n in zip(docs.columns, names, strict=True)], removed).toDF(*docs.columns, "line_removed")
