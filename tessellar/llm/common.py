@@ -16,8 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's switch to drop a query's shuffle files when it has ended, rather than when the driver collects its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 U = np.uint64
 with np.errstate(over="ignore"):
@@ -41,9 +43,21 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, and a lost
     executor costs nothing that was written."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(df: DataFrame, size: str = "8m") -> DataFrame:
+    """Arrow batches of few bytes for the session, so that long texts don't add up in a task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
 
 
 def sheltered(df: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, mix64, sheltered, shingles, slices, word_hashes
+from tessellar.llm.common import U, mix64, sheltered, shingles, slices, small_batches, word_hashes
 
 BITS, RADIUS, WIDTH = 256, 76, 16
 BLOCKS = BITS // WIDTH
@@ -152,7 +152,7 @@ KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64())
 
 def scan(docs: DataFrame, items: list[tuple], keep: list[str], words: int = 5, percent: int = 80) -> DataFrame:
     """``keep`` and ``decon_found``: the items of one block found in each row's text, each at its best place."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
         built = indexes(shared.value, words)

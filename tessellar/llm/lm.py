@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, mix64, slices, sum_slices, word_hashes
+from tessellar.llm.common import U, materialize, mix64, slices, small_batches, sum_slices, word_hashes
 
 BUCKETS, CLASSES, ROWS, FEATURES = 1 << 17, 32, 1 << 14, 3
 DISCOUNT = 0.6
@@ -204,7 +204,7 @@ def score(docs: DataFrame, chunk: Column | None = None, rounds: int = 1, rate: f
     ``chunk``: a long that deals rows to chunks of some megabytes, the same in every scan; rows of a chunk had better lie
     together. By default the id's hash deals them.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([] if chunk is None else [chunk.alias("chunk")]))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([] if chunk is None else [chunk.alias("chunk")]))
     if chunk is None:
         size = rows.agg(F.sum(F.octet_length("text")).alias("s")).first()["s"] or 0
         rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // (12 << 20) + 1)))

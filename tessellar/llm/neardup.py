@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, sheltered, shingles, slices, text_hash, word_hashes
+from tessellar.llm.common import U, materialize, sheltered, shingles, slices, small_batches, text_hash, word_hashes
 from tessellar.llm.filters import id_filter, maybe
 
 K, BITS, RADIUS = 64, 16, 25
@@ -176,7 +176,7 @@ def across(rest: DataFrame, least: int) -> DataFrame:
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    docs = small_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
     rows = materialize(described(docs, words))
     reps = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", F.col("m.id").alias("rid"), F.col("m.sig").alias("sig"))
     reps = materialize(reps)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, mix64, prefix, slices, span_hash, text_hash
+from tessellar.llm.common import U, materialize, mix64, prefix, slices, small_batches, span_hash, text_hash
 from tessellar.llm.filters import id_filter, maybe
 from tessellar.llm.linededup import fresh
 
@@ -252,7 +252,7 @@ def union(parts: list[dict]) -> list[tuple[int, int]]:
 
 def dedup(docs: DataFrame, limit: int = 65_536, per_shard: int = 4096) -> DataFrame:
     """doc_id, n_bytes, removed (byte ranges) and kept (bytes) of each row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     gone = spans(rows, limit, per_shard).select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), "spans")
     both = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")), "left").select("doc_id", "text", "spans")
 

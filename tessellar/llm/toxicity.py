@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, prefix, sheltered, slices, span_hash, sum_slices, words
+from tessellar.llm.common import U, prefix, sheltered, slices, small_batches, span_hash, sum_slices, words
 
 BUCKETS = 1 << 20
 SLICES = 16
@@ -227,7 +227,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column | None = None, max_labels: int = 100_000) -> Model:
     """The model of labelled rows; ``training``: a condition on doc_id that they must meet."""
-    ids, y = labelled(docs, labels, training, max_labels)
+    ids, y = labelled(small_batches(docs), labels, training, max_labels)
     shared = docs.sparkSession.sparkContext.broadcast((ids, y))
     n = counts(docs, shared)
     model = Model(n[:2], stem_odds(n[2:]))
