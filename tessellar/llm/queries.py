@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessellar.llm import chat, common, decontam, linededup, lm, mixing, neardup, quality, runindex, toxicity, warc
+from tessellar.llm import chat, common, decontam, linededup, lm, mixing, neardup, oracles, quality, runindex, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc, pipeline)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {**oracles.ORACLES}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
