@@ -428,9 +428,10 @@ def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False,
     of blocks is a task."""
 
     def run(key, t):
-        cols = [t.column(c).to_numpy() for c in ("k1", "bits", "doc_id", "n", "place", "line", "own")]
-        order = np.lexsort((cols[0], cols[5], cols[2]))
-        k, bits, _, n, p, _, own = (c[order] for c in cols)
+        k, doc, n, p, line, own = (t.column(c).to_numpy().astype(np.int64) for c in ("k1", "doc_id", "n", "place", "line", "own"))
+        order = np.lexsort((k, line, doc))
+        k, n, p, own = k[order], n[order], p[order], own[order]
+        bits = np.stack([t.column(f"m{i}").to_numpy() for i in range(maps)], axis=1)[order]
         lone = key[1].as_py() == key[2].as_py()
         probe = None if probes is None else maybe(probes.value, k)
         x, y, s, _, met = crowd(k, bits, n, p, percent, every_one, probe, None if lone else (own == key[2].as_py()).astype(int))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tessellar.llm import toxicity
 from tests.llm.test_text_ops import linked, later_lines, tokens
 from tests.oracle import DATA
 
@@ -20,7 +21,9 @@ def test_stages(spark):
             assert out.columns == columns
             after = {r.doc_id: r.text for r in out.collect()}
         if name == "toxicity":
-            assert 0.8 * len(before) < len(after) < len(before)
+            model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+            score = {r.doc_id: r.tox_score for r in toxicity.scan(docs, model, ["doc_id"]).collect()}
+            assert after == {d: t for d, t in before if score[d] < 0.5} and len(after) > 0.8 * len(before)
         elif name == "line_dedup":
             gone = later_lines(before)
             assert after == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in before}

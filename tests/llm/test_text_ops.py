@@ -213,7 +213,7 @@ def test_lm_is_a_distribution():
 
 def test_lm_odd(spark, odd, none):
     out = {(r.doc_id, r.n_tokens) for r in lm.score(odd).collect()}
-    assert {(1, 1), (2, 1), (3, 1), (4, 2), (None, 8)} <= out and lm.score(odd).count() == len(ODD)
+    assert {(1, 1), (2, 1), (3, 1), (4, 2), (None, 9)} <= out and lm.score(odd).count() == len(ODD)
     assert lm.score(none).count() == 0
 
 
