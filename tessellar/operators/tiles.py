@@ -26,8 +26,10 @@ def in_leaves(features: DataFrame, z: int) -> DataFrame:
     lo = lambda c, bucket: F.greatest(c - 1, F.col(bucket) * side)
     hi = lambda c, bucket: F.least(c + 1, F.col(bucket) * side + side - 1)
     b = b.withColumns({"_a": lo(col("xmin"), "mercator_x"), "_b": hi(col("xmax"), "mercator_x"), "_c": lo(lat("ymax"), "mercator_y"), "_d": hi(lat("ymin"), "mercator_y")})
-    b = b.filter("_b >= _a and _d >= _c").withColumn("z", F.lit(z))
-    b = b.withColumn("x", F.explode(F.sequence(F.col("_a").cast("int"), F.col("_b").cast("int")))).withColumn("y", F.explode(F.sequence(F.col("_c").cast("int"), F.col("_d").cast("int"))))
+    # an outer explode with the guard inside: a filter on these bounds would be pushed down and repeat their formulas,
+    # and rows without a tile go by the exact test
+    each = lambda lo, hi: F.explode_outer(F.when(F.col(hi) >= F.col(lo), F.sequence(F.col(lo).cast("int"), F.col(hi).cast("int"))))
+    b = b.withColumn("z", F.lit(z)).withColumn("x", each("_a", "_b")).withColumn("y", each("_c", "_d"))
     e = m.extent(z, "x", "y")
     return b.filter(overlaps(e["west"], e["south"], e["east"], e["north"])).drop("_a", "_b", "_c", "_d", "mercator_x", "mercator_y")
 
