@@ -14,8 +14,9 @@ the least match between two run ends. So matching statistics (the longest match
 the same place) stream through the columns, and strings whose statistic reaches ``LENGTH`` are marked. Aligning keeps
 a text's overlapping contexts from matching themselves, which a plain transform over them would.
 
-An anchor with more than ``limit`` distinct contexts is split by hash into several shards; strings that found no match
-within theirs are then counted by 128-bit hashes over all of that anchor's shards, which completes the result.
+An anchor with more than ``limit`` distinct contexts is split by hash into several shards. Each gives the 128-bit hashes of
+its strings, once for those that match within it, and they are counted over all of that anchor's shards: a string without
+a match in its own shard goes if another shard has it, matched there or not.
 
 Null and empty texts, and texts shorter than ``LENGTH``, lose nothing. Rows that share an id are told apart by the hash
 of the text; wholly equal rows of long enough texts repeat each other and lose all. What is kept can end inside a
@@ -37,6 +38,8 @@ LENGTH, GRAM = 200, 32
 #: grams in a string, and so bytes that a context has at most before its anchor
 SPAN = LENGTH - GRAM
 COLUMNS = SPAN + LENGTH
+#: ranges to remove; strings of a split anchor without a match in their shard, and those with one
+MARKED, OPEN, MET = 0, 1, 2
 
 
 def sliding(x: np.ndarray, w: int, op: np.ufunc, fill) -> np.ndarray:
@@ -181,7 +184,7 @@ def intervals(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def marks(shards: DataFrame) -> DataFrame:
-    """(a, c, from, to, split) of byte ranges relative to the anchor, of rows (shard, part, split, a, c, before, context)."""
+    """(a, c, from, to, h1, h2, kind) of byte ranges relative to the anchor, of rows (shard, part, split, a, c, before, context)."""
 
     def run(_, t):
         t = t.combine_chunks()
@@ -200,18 +203,25 @@ def marks(shards: DataFrame) -> DataFrame:
             size = np.fromiter(map(len, text), np.int64, len(text))
             start = np.arange(SPAN + 1)
             valid = (start >= (SPAN - before)[:, None]) & (start + LENGTH <= (SPAN - before + size)[:, None])
-            r, s = np.nonzero(valid & ~hit)
+            r, s = np.nonzero(valid)
             p1 = np.array([prefix(x) for x in matrix]) if len(matrix) else np.zeros((0, COLUMNS + 1), U)
             p2 = np.array([prefix(x ^ np.uint8(0x55)) for x in matrix]) if len(matrix) else p1
             h = [mix64((p[r, s + LENGTH] - p[r, s]) * U(k)).view(np.int64) for p, k in ((p1, 1), (p2, 3))]
+            # strings that match here are marked by their ranges; others need to know of them, once
+            met = np.flatnonzero(hit[r, s])
+            met = met[np.lexsort((h[1][met], h[0][met], s[met]))]
+            new = np.ones(len(met), bool)
+            new[1:] = (s[met[1:]] != s[met[:-1]]) | (h[0][met[1:]] != h[0][met[:-1]]) | (h[1][met[1:]] != h[1][met[:-1]])
+            at = np.concatenate((np.flatnonzero(~hit[r, s]), met[new]))
+            r, s, h = r[at], s[at], [x[at] for x in h]
             out = [np.concatenate(x) for x in zip(out, (a[r], c[r], s - SPAN, s - SPAN + LENGTH, *h), strict=True)]
-            kind = np.concatenate((np.zeros(len(row), bool), np.ones(len(r), bool)))
+            kind = np.concatenate((np.full(len(row), MARKED), np.where(hit[r, s], MET, OPEN)))
         else:
-            kind = np.zeros(len(row), bool)
-        names = ["a", "c", "from", "to", "h1", "h2", "open"]
-        return pa.table([*(pa.array(x.astype(np.int64)) for x in out), pa.array(kind)], names)
+            kind = np.full(len(row), MARKED)
+        names = ["a", "c", "from", "to", "h1", "h2", "kind"]
+        return pa.table([*(pa.array(x.astype(np.int64)) for x in out), pa.array(kind, pa.int32())], names)
 
-    return shards.groupBy("shard", "part").applyInArrow(run, "a long, c long, from long, to long, h1 long, h2 long, open boolean")
+    return shards.groupBy("shard", "part").applyInArrow(run, "a long, c long, from long, to long, h1 long, h2 long, kind int")
 
 
 def spans(docs: DataFrame, limit: int = 65_536, per_shard: int = 4096) -> DataFrame:
@@ -227,9 +237,9 @@ def spans(docs: DataFrame, limit: int = 65_536, per_shard: int = 4096) -> DataFr
     rows = rows.withColumns({"split": F.col("kinds") > limit, "part": F.when(F.col("kinds") > limit, F.pmod(F.xxhash64("c"), F.ceil(F.col("kinds") * 2 / limit))).otherwise(F.lit(0).cast("long"))})
     rows = rows.withColumn("shard", F.when(F.col("split"), F.col("a")).otherwise(F.pmod(F.xxhash64("a"), F.lit(shards))))
     got = materialize(marks(rows.select("shard", "part", "split", "a", "c", "before", "context")))
-    left = got.filter("open")
-    again = left.groupBy("a", "from", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    got = got.filter("not open").select("a", "c", "from", "to").union(left.join(again, ["a", "from", "h1", "h2"], "left_semi").select("a", "c", "from", "to"))
+    left = got.filter(F.col("kind") == OPEN)
+    again = got.filter(F.col("kind") != MARKED).groupBy("a", "from", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    got = got.filter(F.col("kind") == MARKED).select("a", "c", "from", "to").union(left.join(again, ["a", "from", "h1", "h2"], "left_semi").select("a", "c", "from", "to"))
     part = F.struct(F.col("from").alias("from"), F.col("to").alias("to"))
     got = got.groupBy("a", "c").agg(F.sort_array(F.collect_list(part)).alias("parts"))
     whole = folded.filter("n > 1").select("a", "c", F.lit(True).alias("whole"))
