@@ -9,9 +9,9 @@ fixed-sequence testing within a rule, Bonferroni across rules and strata. So wit
 ``1 - delta`` no rule rejects more than ``risk`` of any stratum's good documents. A stratum without enough
 labels gets no cutoff for the rule and keeps its documents.
 
-Calibration uses at most about ``max_labels`` labelled rows (a share of them by the hash of the id). Null or empty
-texts have no words and fail the base rule; a null language is a stratum of its own; labels that are null,
-or repeated for an id, count as the ids' lowest label that isn't null; repeated documents each get a row.
+Calibration counts all labelled rows. Null or empty texts have no words and fail the base rule; a null
+language is a stratum of its own; labels that are null, or repeated for an id, count as the ids' lowest label
+that isn't null; repeated documents each get a row.
 """
 
 from __future__ import annotations
@@ -81,11 +81,9 @@ def tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).when(k == 0, F.exp(n * F.log(F.lit(1 - p)))).otherwise(F.exp(log_term) * ratio)
 
 
-def thresholds(stats: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05, max_labels: int = 200_000) -> DataFrame:
+def thresholds(stats: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """lang, rule, cutoff, n_good, n_rejected, p_value: the strictest cutoff that holds for each rule."""
     y = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    share = F.least(F.lit(1.0), F.lit(float(max_labels)) / F.greatest(F.lit(1), F.count(F.lit(1))))
-    y = y.crossJoin(F.broadcast(y.agg(share.alias("share")))).filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     good = stats.join(y.filter("quality = 1").select("doc_id"), "doc_id").filter("not base_failed")
     values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.expr(x).cast("double").alias("v")) for r, x in RULES.items()]))
     grid = F.array(*[F.lit(g) for g in GRID])
@@ -101,11 +99,11 @@ def thresholds(stats: DataFrame, labels: DataFrame, risk: float = 0.01, delta: f
     return held.groupBy("lang", "rule").agg(best.alias("b")).select("lang", "rule", "b.cutoff", F.col("b.n").alias("n_good"), F.col("b.k").alias("n_rejected"), "b.p_value")
 
 
-def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50, risk: float = 0.01, delta: float = 0.05, max_labels: int = 200_000) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """The statistics of each document, base_failed, kept, and ``rejected_by``: the rules it breaks."""
     stats = statistics(docs).withColumn("base_failed", F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat} * n_words"))
     stats = materialize(stats)
-    cut = thresholds(stats, labels, risk, delta, max_labels).groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")).withColumnRenamed("lang", "stratum")
+    cut = thresholds(stats, labels, risk, delta).groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")).withColumnRenamed("lang", "stratum")
     # a row for each language at most
     out = stats.join(cut, F.col("lang").eqNullSafe(F.col("stratum")), "left")
     broken = F.array_compact(F.array(*[F.when(F.expr(x).cast("double") > F.col("cuts")[r], F.lit(r)) for r, x in RULES.items()]))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tessellar.llm import common, runindex
+from tessellar.llm import common, quality, runindex
 from tests.llm.test_text_ops import removed
 
 
@@ -28,3 +29,14 @@ def test_split_anchors_see_matches_of_other_parts(spark):
         rows += [(len(rows) + i, text(120) + shared + text(120)) for i in range(3)]
     out = runindex.dedup(spark.createDataFrame(rows, "doc_id long, text string"), limit=64, per_shard=16).collect()
     assert sorted((r.doc_id, r.n_bytes, sum(x.end - x.start for x in r.removed), hashlib.sha256(r.kept).hexdigest()) for r in out) == removed(rows)
+
+
+def test_thresholds_count_all_labelled_rows(spark):
+    """op4: a language of few rows among more labels than the calibration once sampled."""
+    few, n = 5000, 600_000
+    lang = F.when(F.col("id") < few, "xx").otherwise("en").alias("lang")
+    zero = [F.lit(0).cast("long").alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_exclaims")]
+    stats = spark.range(n).select(F.col("id").alias("doc_id"), lang, *zero, *[F.lit(100).cast("long").alias(c) for c in ("n_words", "word_chars", "n_lines")], F.lit(False).alias("base_failed"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    out = {(r.lang, r.rule): r.n_good for r in quality.thresholds(stats, labels).collect()}
+    assert {out["xx", "symbols"], out["xx", "repeats"]} == {few} and out["en", "symbols"] == n - few
