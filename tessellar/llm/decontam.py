@@ -7,7 +7,8 @@ and a table for each block lists the items within that many bits of each block v
 within the radius is found; candidates are then verified by the exact similarity of weighted shingles,
 ``sum of smaller counts / sum of larger counts``, of at least ``percent``.
 
-Only windows that hold a shingle of some item of their size are looked at: any other has similarity 0. Similarities are of
+Only windows that hold a shingle of some item of their size are looked at: any other has similarity 0. A text of fewer shingles
+than an item, but enough for ``percent``, is its own one window. Similarities are of
 window and item as multisets, so the radius leaves room for the angle that similarity 0.8 allows: at 0.8 about 38 of
 256 bits differ, and more than 76 in fewer than one of a million windows.
 
@@ -121,12 +122,14 @@ def matches(g: np.ndarray, hit: np.ndarray, ix: Index, percent: int) -> list[tup
     has = ix.has[np.searchsorted(ix.hashes, g[hit])]
     for which in np.flatnonzero(has.any(axis=0)).tolist():
         size = int(ix.sizes[which])
-        # starts of windows of this size that hold a shingle of an item of this size, as far as the text goes
-        if len(g) < size:
+        # a text that is shorter is one window as a whole, if it can be similar enough
+        width = min(size, len(g))
+        if width * 100 < size * percent:
             continue
+        # starts of windows of this size that hold a shingle of an item of this size, as far as the text goes
         own = hit[has[:, which]]
-        lo = np.maximum(own - size + 1, 0)
-        hi = np.minimum(own, len(g) - size)
+        lo = np.maximum(own - width + 1, 0)
+        hi = np.minimum(own, len(g) - width)
         cover = np.zeros(len(g) + 1, np.int32)
         ok = lo <= hi
         np.add.at(cover, lo[ok], 1)
@@ -136,13 +139,13 @@ def matches(g: np.ndarray, hit: np.ndarray, ix: Index, percent: int) -> list[tup
         for run in np.split(starts, cut):
             if not len(run):
                 continue
-            part = g[run[0] : run[-1] + size]
-            w, i = ix.candidates(fingerprints(part, size))
+            part = g[run[0] : run[-1] + width]
+            w, i = ix.candidates(fingerprints(part, width))
             same = ix.size[i] == size
             for x, item in zip(w[same].tolist(), i[same].tolist(), strict=True):
-                s = similarity(ix.counts[item], part[x : x + size])
+                s = similarity(ix.counts[item], part[x : x + width])
                 if s * 100 >= percent and s > best.get(item, (0,))[0]:
-                    best[item] = (s, int(run[0]) + x, size + ix.k - 1)
+                    best[item] = (s, int(run[0]) + x, width + ix.k - 1)
     return [(ix.ids[i], *v) for i, v in best.items()]
 
 

@@ -7,8 +7,8 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tessellar.llm import common, quality, runindex
-from tests.llm.test_text_ops import removed
+from tessellar.llm import common, decontam, quality, runindex
+from tests.llm.test_text_ops import removed, tokens, weighted
 
 
 def low_gram(rng):
@@ -40,3 +40,20 @@ def test_thresholds_count_all_labelled_rows(spark):
     labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
     out = {(r.lang, r.rule): r.n_good for r in quality.thresholds(stats, labels).collect()}
     assert {out["xx", "symbols"], out["xx", "repeats"]} == {few} and out["en", "symbols"] == n - few
+
+
+def test_texts_shorter_than_an_item_are_compared(spark):
+    """op7: an item less a few of its words, with no other word around it."""
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(n))) for i, n in enumerate([100, 40, 12, 5, 3])]
+    docs = [(100 * i + less, " ".join(x.split()[less // 2 : len(x.split()) - (less + 1) // 2])) for i, x in items for less in range(25)]
+    out = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {}
+    for (d, t) in docs:
+        for i, x in items:
+            k = min(5, len(tokens(x)))
+            a, b = tokens(x, k), tokens(t, k)
+            s = max((weighted(a, b[j : j + len(a)]) for j in range(max(1, len(b) - len(a) + 1))), default=0)
+            if s >= 0.8:
+                want[d, i] = (s, len(tokens(t)))
+    got = {(r.doc_id, r.item_id): (r.similarity, r.n_words) for r in out.collect()}
+    assert len(want) > 25 and got == want
