@@ -7,8 +7,12 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from tessellar.functions import mercator
 from tessellar.llm import common, decontam, quality, runindex
+from tessellar.operators import pyramid, tiles
+from tessellar.plans import queries as plans
 from tests.llm.test_text_ops import removed, tokens, weighted
+from tests.oracle import DATA
 
 
 def low_gram(rng):
@@ -57,3 +61,13 @@ def test_texts_shorter_than_an_item_are_compared(spark):
                 want[d, i] = (s, len(tokens(t)))
     got = {(r.doc_id, r.item_id): (r.similarity, r.n_words) for r in out.collect()}
     assert len(want) > 25 and got == want
+
+
+def test_tile_round_trip_writes_all_features(spark):
+    """tile_round_trip: the tiles of the pyramid over all features, each written and found again."""
+    sf = str(DATA / "sf0.001")
+    rows = tiles.in_leaves(plans.features(spark, sf), mercator.Z_BUCKET)
+    final = pyramid.merge_up(common.materialize(tiles.manifest(rows, 400, z_of_extent=False)), 400)
+    want = {tuple(r) for r in pyramid.rekey(rows, final).select("z", "x", "y").distinct().collect()}
+    out = plans.tile_round_trip(spark, sf).collect()
+    assert {(r.z, r.x, r.y) for r in out} == want and len(out) == len(want) and all(r.same for r in out)
