@@ -12,8 +12,8 @@ than an item, but enough for ``percent``, is its own one window. Similarities ar
 window and item as multisets, so the radius leaves room for the angle that similarity 0.8 allows: at 0.8 about 38 of
 256 bits differ, and more than 76 in fewer than one of a million windows.
 
-An item of fewer words than a shingle has its whole sequence as its one shingle; null or empty items match nothing, and neither
-do null or empty texts; equal items are each reported; rows repeated in ``docs`` each give their own rows.
+An item of fewer words than a shingle has its whole sequence as its one shingle; items of null or empty text match nothing, and
+neither do null or empty texts; items without an id are reported with a null one; equal items are each reported; rows repeated in ``docs`` each give their own rows.
 Items are taken in blocks of ``per_block``, so that what a task holds has a bound however many items there are.
 """
 
@@ -171,7 +171,7 @@ def scan(docs: DataFrame, items: list[tuple], keep: list[str], words: int = 5, p
                     row = np.searchsorted(begin, at, "right") - 1
                     for r in np.unique(row).tolist():
                         found[lo + r] += matches(g[begin[r] : begin[r + 1]], at[row == r] - begin[r], ix, percent)
-            rows = [[dict(zip(("item_id", "similarity", "first_word", "n_words"), x, strict=True)) for x in sorted(f)] for f in found]
+            rows = [[dict(zip(("item_id", "similarity", "first_word", "n_words"), x, strict=True)) for x in sorted(f, key=lambda x: (x[0] is None, x[0] or 0, *x[1:]))] for f in found]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(rows, KIND)], [*keep, "decon_found"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
@@ -180,10 +180,10 @@ def scan(docs: DataFrame, items: list[tuple], keep: list[str], words: int = 5, p
 
 def item_blocks(benchmark: DataFrame, per_block: int) -> list[list[tuple]]:
     """The benchmark's items, ``per_block`` at a time, without a collect of more than a block."""
-    ids = benchmark.filter("text is not null and item_id is not null")
+    ids = benchmark.filter("text is not null")
     n = ids.count()
     blocks = max(1, -(-n // per_block))
-    part = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     out = ([(r["item_id"], r["text"]) for r in ids.filter(part == i).select("item_id", "text").collect()] for i in range(blocks))
     return out
 
