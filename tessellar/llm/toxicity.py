@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segments over token log-odds.
 
-Learning: training rows are counted by class for each word that they hold, and for each word's first ``STEMS`` bytes, where a
+Learning: training rows are counted by class for each word that they hold (lower-case, without punctuation around it), and for each word's first ``STEMS`` bytes, where a
 word counts once a fold and class, so that one frequent word doesn't speak for all that begin like it. A word's
 log-odds compare its toxic rate with its other rate, both under a Dirichlet prior whose means follow the longest of its
 beginnings whose rates differ for sure, less a drift, so that a run of ordinary words loses score; a word that repeats the one before adds none. Words with positive scores open and
@@ -43,6 +43,7 @@ LEAST = 1.5
 DRIFT = 0.2
 E_MAX = 0.05
 TOP = 64
+CORE = np.array([b > 127 or chr(b).isalnum() for b in range(256)])
 MASK = U((1 << 22) - 1)
 SEGMENT = "struct<first_word:int,last_word:int,start_byte:int,end_byte:int,score:double,e_value:double>"
 
@@ -123,11 +124,17 @@ def differs(odds: np.ndarray, sd: np.ndarray) -> np.ndarray:
 
 
 def features(data: np.ndarray, off: np.ndarray):
-    """Hashes of words and of their beginnings (of shorter words the whole again, marked as such)."""
+    """Hashes of words without the ASCII punctuation around them (if that leaves any) and of their beginnings (of shorter words the
+    whole again, marked as such)."""
     s, e, first = words(data, off)
     p = prefix(data, True)
-    stem = [span_hash(p, s, np.minimum(e, s + n)) ^ U(n) for n in STEMS]
-    return span_hash(p, s, e), stem, s, e, first
+    core = np.flatnonzero(CORE[data])
+    a, b = np.searchsorted(core, s), np.searchsorted(core, e)
+    bare = b > a
+    begin, end = s.copy(), e.copy()
+    begin[bare], end[bare] = core[a[bare]], core[b[bare] - 1] + 1
+    stem = [span_hash(p, begin, np.minimum(end, begin + n)) ^ U(n) for n in STEMS]
+    return span_hash(p, begin, end), stem, s, e, first
 
 
 def sample(docs: DataFrame, labels: DataFrame, training: Column | None, max_labels: int) -> DataFrame:
