@@ -47,9 +47,9 @@ def merge_up(tiles: DataFrame, budget: int, floor_z: int = 0, measures: tuple[st
         up = materialize(groups.filter((F.col("kids") == 4) & (F.col("weight") <= budget)).select(F.lit(z - 1).alias("z"), F.col("_x").alias("x"), F.col("_y").alias("y"), *columns[3:]))
         settled.append(here.withColumns(key).join(up.select(F.col("x").alias("_x"), F.col("y").alias("_y")), ["_x", "_y"], "left_anti").select(*columns))
     out = settled[0]
-    for s in [*settled[1:], up]:
+    for s in [*settled[1:], *([] if up is None else [up])]:
         out = out.unionByName(s)
-    return out.distinct() if levels[0] <= floor_z else out
+    return out
 
 
 def merge_step(tiles: DataFrame, budget: int) -> DataFrame:
@@ -74,24 +74,36 @@ def quadtree(fine: DataFrame, budget: int, min_deg: float = grid.MIN_CELL_DEG, w
     """Tiles (theme, z, x, y, box, n, weight) of rows in 0.1 degree cells (theme, x, y, bbox): a tile over budget is split into quadrants
     until it is within, or no wider than ``min_deg``.
 
-    Each round splits only the rows of tiles over budget, eight rounds at most.
+    A row whose box covers its tile is in all parts of the tile, so it goes on as a count that they inherit. Only rows with an
+    edge inside a tile over budget are dealt to its quadrants, eight rounds at most: their copies grow with the length of
+    their edges, not with their area, and the tiles with the result.
     """
     w = F.lit(1) if weight is None else F.col(weight)
-    rows = fine.select("theme", F.lit(0).alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "bbox", w.cast("long").alias("w"))
+    # a struct, so that rows without a theme meet
+    rows = fine.select(F.struct("theme").alias("_t"), F.lit(0).alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "bbox", w.cast("long").alias("w"))
     rows = rows.withColumns(grid.cell_box(F.col("y"), F.col("x")))
-    tile = ["theme", "z", "x", "y", "west", "south", "east", "north"]
-    done = []
+    key, box = ["_t", "z", "x", "y"], ["west", "south", "east", "north"]
+    covers = (F.col("bbox.xmin") <= F.col("west")) & (F.col("bbox.xmax") >= F.col("east")) & (F.col("bbox.ymin") <= F.col("south")) & (F.col("bbox.ymax") >= F.col("north"))
+    measures = [F.count(F.lit(1)).alias("n"), F.sum("w").alias("weight"), F.count_if("_covers").alias("_n"), F.coalesce(F.sum(F.when(F.col("_covers"), F.col("w"))), F.lit(0)).alias("_w")]
+    over = (F.col("weight") > budget) & (F.col("east") - F.col("west") > min_deg + 1e-9)
+    done, kids = [], None
     while True:
-        sums = materialize(rows.groupBy(*tile).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("weight")))
-        over = (F.col("weight") > budget) & (F.col("east") - F.col("west") > min_deg + 1e-9)
+        rows = rows.withColumn("_covers", covers)
+        rows = rows if kids is None else materialize(rows)
+        sums = rows.groupBy(*key, *box).agg(*measures)
+        if kids is not None:
+            own = sums.drop(*box).withColumnsRenamed({c: f"_own{c}" for c in ("n", "weight", "_n", "_w")})
+            total = {"n": "_n", "weight": "_w", "_n": "_n", "_w": "_w"}
+            sums = kids.join(own, key, "left").select(*key, *box, *[(F.col(b) + F.coalesce(f"_own{c}", F.lit(0))).alias(c) for c, b in total.items()]).filter("n > 0")
+        sums = materialize(sums)
         done.append(sums.filter(~over))
-        big = sums.filter(over).select("theme", "z", "x", "y")
+        big = sums.filter(over)
         if big.isEmpty():
             break
-        parts = rows.join(big, ["theme", "z", "x", "y"], "left_semi").withColumn("_k", F.explode(grid.quadrants()))
-        parts = parts.withColumns({c: F.col(f"_k.{c}") for c in tile[1:]}).drop("_k")
-        rows = materialize(parts.filter(overlaps(*[F.col(c) for c in tile[4:]])))
+        split = lambda df: df.withColumn("_k", F.explode(grid.quadrants())).withColumns({c: F.col(f"_k.{c}") for c in (*key[1:], *box)}).drop("_k")
+        kids = split(big.select(*key, *box, "_n", "_w"))
+        rows = split(rows.filter("not _covers").drop("_covers").join(big.select(*key), key, "left_semi")).filter(overlaps(*[F.col(c) for c in box]))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    return out.select(F.col("_t.theme").alias("theme"), "z", "x", "y", *box, "n", "weight")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessellar.plans.queries import BAND, BUDGET, CELL_BUDGET, CITY, LEAF_Z, REGION, SPLIT_BUDGET, VINTAGE
+from tessellar.plans.queries import BAND, BUDGET, CITY, LEAF_Z, REGION, SPLIT_BUDGET, VINTAGE
 from tessellar.plans.view import FEATURES
 
 LAT = 85.0511287798066
@@ -89,10 +89,11 @@ def quadtree() -> str:
     """CTEs up to ``q`` (theme, z, x, y, n): depth by depth, the rows of tiles over budget go to quadrants."""
     out = [FINE, """r0 as materialized (select theme, 0 as z, cast(x as bigint) as x, cast(y as bigint) as y, xmin, ymin, xmax, ymax,
       y * 0.1::double + -180.0::double as west, x * 0.1::double + -90.0::double as south,
-      least(y * 0.1::double + -180.0::double + 0.1::double, 180.0::double) as east, least(x * 0.1::double + -90.0::double + 0.1::double, 90.0::double) as north from fine)"""]
+      least(y * 0.1::double + -180.0::double + 0.1::double, 180.0::double) as east, least(x * 0.1::double + -90.0::double + 0.1::double, 90.0::double) as north from fine)""",
+      "h as materialized (select greatest(3, coalesce(max(n), 0) // 3) as budget from (select count(*) as n from fine group by theme, x, y))"]
     done = []
     for d in range(9):
-        over = f"n > {CELL_BUDGET} and east - west > 0.001::double + 1e-9::double"
+        over = f"n > (select budget from h) and east - west > 0.001::double + 1e-9::double"
         out.append(f"s{d} as materialized (select theme, z, x, y, west, south, east, north, count(*) as n from r{d} group by all)")
         done.append(f"select theme, z, x, y, n from s{d} where not ({over})")
         parts = []
@@ -180,7 +181,7 @@ ORACLES = {
     "downloads": "select 's3://data/part-' || o_orderkey || '.parquet' as file_key, o_orderkey * 10 as size_bytes, case when o_orderkey % 3 = 1 and o_orderkey % 2 = 0 and o_orderkey % 8 <> 0 then 'skip' when o_orderkey % 3 <> 0 then 'requeue' else 'fetch' end as action from orders",
     "counts_match": f"with {STATUS} select x, y, x % 4 = 1 as complete from st where theme = 'water'",
     "upsert_tiles": f"with {STATUS} select x, y, case when x % 2 = 0 then n * 100 else n end as n from st where theme = 'water'",
-    "sorted_manifest": f"with {BASE} select z, x, y, n as feature_count, z || ':' || x || ':' || y as key, z || '_' || x || '_' || y || '.parquet.gz' as name from t0 where x % 7 <> 0 order by z, x, y",
+    "sorted_manifest": f"with {BASE} select row_number() over (order by z, x, y) as place, z, x, y, n as feature_count, z || ':' || x || ':' || y as key, z || '_' || x || '_' || y || '.parquet.gz' as name from t0 where x % 7 <> 0",
     "manifest_json": f"""with {BASE} select '{{"z":' || z || ',"x":' || x || ',"y":' || y || ',"size_bytes":' || n || ',"feature_count":' || n || '}}' as json from t0""",
     "index_refresh": f"with {INDEX}, o as (select *, (west + east) / 2.0 as mid from ix) select z, x, y, n as feature_count, '2025-01-01T00:00:00Z' as vintage from o where not (mid >= 0 and mid < 10) and x not in (32, 33) union all select z, x, y, n + 1, '{VINTAGE}' from o where x in (32, 33)",
     "index_peels": f"with {PEELS} select peel_idx, lng_lo, lng_hi, case when peel_idx = 18 then '{VINTAGE}' end as vintage from pl",
@@ -191,7 +192,7 @@ ORACLES = {
       select o_orderkey, case when n >= 1e12 then format('{:.1f} TB', n / 1e12) when n >= 1e9 then format('{:.1f} GB', n / 1e9) when n >= 1e6 then format('{:.0f} MB', n / 1e6) else format('{:.0f} KB', n / 1e3) end as size, 'peel_' || lpad(cast(o_orderkey % 36 as varchar), 2, '0') as peel from n""",
     "checked_names": "select o_orderkey, o_orderkey % 3 <> 2 as release, cast(o_orderkey % 64 as int) as x, cast(o_custkey % 64 as int) as y from orders",
     "manifest_round_trip": f"with {BASE} select z, x, y, 'done' as status, n as feature_count, n as size_bytes from t0",
-    "sorted_files": f"with {C} select count(*) as n from c",
+    "sorted_files": f"with {C} select count(*) as n, 0::bigint as rows_out_of_order, 0::bigint as files_that_overlap from c",
     "partition_round_trip": f"with {K} select count(distinct (bx, b_y)) as buckets, count(*) filter (bx = 34 and b_y = 20) as rows_34_20, false as leaks from k",
     "index_stream": f"with {INDEX} select z, x, y, n as feature_count from ix where x = 32 or x = 34",
 }

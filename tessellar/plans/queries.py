@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessellar.functions import grid, values
@@ -22,7 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 BAND = (0.0, 10.0)
 CITY = grid.Box(12.0, 55.0, 12.5, 55.5)
 REGION = grid.Box(-30.0, 30.0, 20.0, 60.0)
-LEAF_Z, BUDGET, SPLIT_BUDGET, CELL_BUDGET = 8, 20, 50, 40
+LEAF_Z, BUDGET, SPLIT_BUDGET = 8, 20, 50
 VINTAGE = "2026-01-01T00:00:00Z"
 
 
@@ -275,16 +275,22 @@ def region_fine_cells(spark, sf):
     return spark.createDataFrame(rows, "cell_lon int, cell_lat int")
 
 
+def cell_tiles(spark, sf):
+    """The quadtree with a third of what the fullest cell of a theme holds (3 at least) for a budget, so that it splits at every size of the tables."""
+    fine = keys.fine_cells(keys.celled(features(spark, sf)))
+    fullest = fine.groupBy("theme", "x", "y").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    return pyramid.quadtree(fine, max(3, fullest // 3))
+
+
 @query
 def quadtree(spark, sf):
-    t = pyramid.quadtree(keys.fine_cells(keys.celled(features(spark, sf))), CELL_BUDGET)
-    return t.groupBy("z", "x", "y").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("themes"))
+    return cell_tiles(spark, sf).groupBy("z", "x", "y").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("themes"))
 
 
 @query
 def quadtree_plan(spark, sf):
     """A dry run: how many tiles each depth would get."""
-    return pyramid.quadtree(keys.fine_cells(keys.celled(features(spark, sf))), CELL_BUDGET).groupBy("z").agg(F.count(F.lit(1)).alias("tiles"), F.sum("n").alias("n"))
+    return cell_tiles(spark, sf).groupBy("z").agg(F.count(F.lit(1)).alias("tiles"), F.sum("n").alias("n"))
 
 
 def status_table(spark, sf):
@@ -352,7 +358,11 @@ def upsert_tiles(spark, sf):
 @query
 def sorted_manifest(spark, sf):
     t = base_tiles(spark, sf).withColumn("status", F.when(F.col("x") % 7 == 0, "failed").otherwise("done"))
-    return t.filter("status = 'done'").orderBy("z", "x", "y").select("z", "x", "y", "feature_count", values.tile_key().alias("key"), values.flat_name().alias("name"))
+    path = shared_dir(spark)
+    manifests.write_json(t.select("z", "x", "y", "status", "feature_count", values.tile_key().alias("key"), values.flat_name().alias("name")), path)
+    # rows are numbered as the one file holds them
+    lines = spark.read.schema("z int, x int, y int, status string, feature_count long, key string, name string").json(path)
+    return lines.select((F.monotonically_increasing_id() + 1).alias("place"), "z", "x", "y", "feature_count", "key", "name")
 
 
 @query
@@ -444,7 +454,12 @@ def manifest_round_trip(spark, sf):
 def sorted_files(spark, sf):
     path = shared_dir(spark)
     sinks.write_sorted(keys.celled(features(spark, sf)), path, "_lat_lo", "_lon_lo")
-    return sinks.measured(spark, path).agg(F.sum("rows").alias("n"))
+    back = spark.read.parquet(path).withColumns({"file": F.col("_metadata.file_path"), "at": F.col("_metadata.row_index"), "k": F.struct("_lat_lo", "_lon_lo")})
+    before = F.lag("k").over(Window.partitionBy("file").orderBy("at"))
+    files = back.withColumn("back", F.col("k") < before).groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_if("back").alias("back"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    # files hold ranges that don't overlap; there is a row for a file, so one window over them is small
+    files = files.withColumn("apart", F.coalesce(F.col("lo") > F.lag("hi").over(Window.orderBy("lo")), F.lit(True)))
+    return files.agg(F.sum("n").alias("n"), F.sum("back").alias("rows_out_of_order"), F.count_if(~F.col("apart")).alias("files_that_overlap"))
 
 
 @query

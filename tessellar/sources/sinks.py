@@ -21,10 +21,12 @@ def write_single(df: DataFrame, path: str, codec: str = "zstd") -> None:
 
 def write_partitioned(df: DataFrame, path: str, *keys: str, codec: str = "zstd", salt: int = 1) -> None:
     """key=value folders. Rows meet by key first, so that a task opens a few files at a time; ``salt`` spreads the rows of
-    each key over that many tasks, for keys that hold a great part of all rows."""
+    each key over that many tasks, for keys that hold a great part of all rows. It comes from the rows, so that a task
+    that runs again deals them alike."""
     by = [F.col(k) for k in keys]
     if salt > 1:
-        by.append(F.floor(F.rand(7) * salt))
+        # maps have no hash
+        by.append(F.pmod(F.xxhash64(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema]), F.lit(salt)))
     df.repartition(*by).write.mode("overwrite").options(**CODECS[codec]).partitionBy(*keys).parquet(path)
 
 

@@ -230,3 +230,45 @@ def test_command_line(spark, tmp_path, capsys):
     assert got.agg(F.sum("feature_count")).first()[0] == 20 and list((tmp_path / "out" / "tiles").rglob("*.parquet"))
     cli.main(["cells", "--input", str(tmp_path / "in"), "--theme", "water", "--dry-run"], spark)
     assert "water" in capsys.readouterr().out
+
+
+def test_quadtree_equals_plain_splitting(spark):
+    """Counts inherited by covered tiles against splitting every row, down to the smallest tiles; rows without a theme too."""
+    import random
+
+    from tessellar.operators import keys, pyramid
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(40):
+        w, s = 10 + rnd.random() * 0.15, 50 + rnd.random() * 0.15
+        rows.append((i, rnd.choice(["water", None]), (w, s, w + rnd.choice([0.0, 0.003, 0.2]), s + rnd.choice([0.0, 0.01, 0.2]))))
+    df = spark.createDataFrame(rows, "id long, theme string, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    fine = keys.fine_cells(keys.celled(df))
+    got = {(r.theme, r.z, r.x, r.y): r.n for r in pyramid.quadtree(fine, 6).collect()}
+    want = {}
+
+    def split(theme, address, box, inside):
+        if len(inside) <= 6 or box.width <= 0.001 + 1e-9:
+            if inside:
+                want[(theme, *address)] = len(inside)
+            return
+        for q, part in enumerate(box.quadrants()):
+            over = [b for b in inside if b[0] < part.east and b[2] > part.west and b[1] < part.north and b[3] > part.south]
+            split(theme, grid.child_address(*address, q), part, over)
+
+    cells = {}
+    for r in fine.collect():
+        cells.setdefault((r.theme, r.y, r.x), []).append(tuple(r.bbox))
+    for (theme, lon, lat), inside in cells.items():
+        z, x, y, box = grid.cell_address(lon, lat)
+        split(theme, (z, x, y), box, inside)
+    assert max(z for _, z, _, _ in want) == 7
+    assert got == want
+
+
+def test_merge_at_the_floor(spark):
+    from tessellar.operators import pyramid
+
+    tiles = spark.createDataFrame([(6, 1, 1, 5, 2)], "z int, x int, y int, weight long, feature_count long")
+    assert [tuple(r) for r in pyramid.merge_up(tiles, 10, floor_z=6).collect()] == [(6, 1, 1, 5, 2)]
