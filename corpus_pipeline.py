@@ -1,7 +1,7 @@
 """From raw documents to a training mix, in stages that each work on what the one before kept.
 
 toxicity: documents that the segment search predicts to be toxic go.
-line_dedup: lines of five words or more that an earlier line resembles go; a document whose lines all go stays, empty.
+line_dedup: lines with a word that an earlier line resembles go; a document whose lines all go stays, empty.
 near_dedup: of documents linked by word-shingle similarity, the one with the smallest id stays.
 decontamination: documents that hold a benchmark item go.
 mixing: tells how many words of each document the mix takes.
@@ -23,7 +23,10 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(docs).select(*docs.columns)
+    out = linededup.dedup(docs)
+    # by position: the input may have a column of the added one's name
+    names = [f"_kept{i}" for i in range(len(out.columns))]
+    out = out.toDF(*names).select(*names[:-1]).toDF(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -13,7 +13,7 @@ of 64 bits on their full sets. Lines for which that fails and that have other pa
 512 bits, and what is then left through round three, which verifies all partners. Rows written grow with the
 lines, and with pairs only in round three.
 
-Lines of fewer than ``min_words`` words stay and aren't compared; so do lines without words, null and empty
+Lines of fewer than ``min_words`` words (one by default) stay and aren't compared; so do lines without words, null and empty
 texts. Rows that share an id are told apart by the hash of the text, and lines of equal number by the hash of theirs; wholly
 equal rows count as one row's lines, and lose the same. Rows without an id come first in order.
 """
@@ -482,7 +482,7 @@ def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "a2", "b", "b2").distinct()
 
 
-def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 5) -> DataFrame:
+def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:
     """(doc_id, th, line) of the lines to remove."""
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     first_pass = materialize(line_rows(docs, min_words))
@@ -521,7 +521,7 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 5) -> DataF
     return all_lines.join(best, ["k1", "k2"]).filter(place > F.col("best")).select("doc_id", "th", "line")
 
 
-def dedup(docs: DataFrame, percent: int = 80, min_words: int = 5) -> DataFrame:
+def dedup(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:
     """All columns of ``docs``, ``text`` without the lines that go, and last the numbers of these (an array of longs)."""
     gone = later_lines(docs, percent, min_words).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).agg(F.sort_array(F.collect_set("line")).alias("_gone"))
     rows, names = sheltered(docs, "doc_id", "text")

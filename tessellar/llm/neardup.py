@@ -13,8 +13,9 @@ block, by prints of ``PRINT`` min-wise hashes (a pair with similarity 0.8 falls
 cases), and what passes is confirmed on full sets too. So no link is given up, and a group whose members are already linked
 isn't paired out.
 
-Null or empty texts have an empty set and link with nothing; rows without an id never name a component unless
-all of its rows lack one; rows that share an id count as one document; other columns are ignored.
+Null or empty texts have an empty set and link with nothing; rows without an id never name a component (one whose rows all
+lack it has none) and count as one document if their texts are equal; rows that share an id but not the text are judged each by its own
+text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from tessellar.llm.filters import id_filter, maybe
 
 K, BITS, RADIUS = 64, 16, 25
 CHUNKS = np.array_split(np.arange(K), (RADIUS + 1 + 1) // 2)
-NO_ID = (1 << 63) - 1
+#: stand-ins of rows without an id, told apart by their texts, lie above this
+NO_ID = (1 << 63) - 1 - (1 << 40)
 BLOCK = 2048
 #: hashes of the longer print (8 bits each), and how many must agree for a pair of 80 percent
 PRINT, LEAST = 512, 374
@@ -71,8 +73,12 @@ def key_rows(sig: np.ndarray) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
+def own_id():
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID + 1) + F.pmod(F.coalesce(text_hash(), F.lit(0)), F.lit((1 << 40) - 1)))
+
+
 def described(docs: DataFrame, k: int) -> DataFrame:
-    """id, n, 128 bits of the set, and the signature of each row."""
+    """id, th, n, 128 bits of the set, and the signature of each row."""
 
     def run(batches):
         for b in batches:
@@ -82,9 +88,9 @@ def described(docs: DataFrame, k: int) -> DataFrame:
                 h1.append(int((s * U(0xD6E8FEB86659FD93)).sum(dtype=U).view(np.int64)))
                 h2.append(int(((s ^ (s >> U(31))) * U(0xA0761D6478BD642F)).sum(dtype=U).view(np.int64)))
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["id", "n", "h1", "h2", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["id", "th", "n", "h1", "h2", "sig"])
 
-    return docs.mapInArrow(run, "id long, n long, h1 long, h2 long, sig binary")
+    return docs.mapInArrow(run, "id long, th long, n long, h1 long, h2 long, sig binary")
 
 
 def keyed(reps: DataFrame) -> DataFrame:
@@ -174,9 +180,9 @@ def across(rest: DataFrame, least: int) -> DataFrame:
     return inner.select(*columns).union(outer.select(*columns)).groupBy("key", "ob", "ib").applyInArrow(run, "a long, b long").distinct()
 
 
-def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text)."""
-    docs = small_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """id, th (the text's hash), n and component for each row of ``docs`` (doc_id, text); see ``own_id`` for ids."""
+    docs = small_batches(docs).select(own_id().alias("id"), text_hash().alias("th"), "text")
     rows = materialize(described(docs, words))
     reps = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("id", "sig")).alias("m")).select("h1", "h2", F.col("m.id").alias("rid"), F.col("m.sig").alias("sig"))
     reps = materialize(reps)
@@ -198,16 +204,20 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     if not more.isEmpty():
         label = merged(more, label)
     sets_of = reps.select("h1", "h2", "rid").join(label, "rid", "left").select("h1", "h2", F.coalesce("label", "rid").alias("component"))
-    out = rows.select("id", "n", "h1", "h2").join(sets_of, ["h1", "h2"], "left")
-    own = F.coalesce("component", "id")
-    absent = lambda c: F.when(c != NO_ID, c)
-    return out.select(absent(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), absent(own).alias("component_id"), (own == F.col("id")).alias("kept"))
+    out = rows.select("id", "th", "n", "h1", "h2").join(sets_of, ["h1", "h2"], "left")
+    return out.select("id", "th", "n", F.coalesce("component", "id").alias("component"))
+
+
+def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text)."""
+    known = lambda c: F.when(F.col(c) <= NO_ID, F.col(c))
+    return grouped(docs, words, percent).select(known("id").alias("doc_id"), F.col("n").alias("n_shingles"), known("component").alias("component_id"), (F.col("component") == F.col("id")).alias("kept"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents with the smallest id of their component, with all their columns; of equal rows one."""
-    gone = components(docs, words, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = grouped(docs, words, percent).filter("component <> id").select(F.col("id").alias("_gone"), F.col("th").alias("_text")).distinct()
     rows, names = sheltered(docs, "doc_id", "text")
-    rows = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = rows.join(gone, (own_id() == F.col("_gone")) & (text_hash() == F.col("_text")), "left_anti")
     again = F.row_number().over(Window.partitionBy("doc_id", text_hash()).orderBy("doc_id"))
     return rows.withColumn("_again", again).filter("_again = 1").select(*names).toDF(*docs.columns)

@@ -58,8 +58,12 @@ select page_id, payload_bytes, payload_digest, case when owner is distinct from
 """
 
 _rules = {k: v.replace(" / greatest", "::double / greatest") for k, v in quality.RULES.items()}
-_alpha = f"({0.01!r}::double / {len(_rules)})"
-QUALITY = f"""
+
+
+def quality_ctes(risk: float, delta: float) -> str:
+    """CTEs up to ``s2`` (statistics), ``tested`` and ``cuts``."""
+    alpha = f"({risk!r}::double / {len(_rules)})"
+    return f"""
 with t as (select doc_id, lang, coalesce(text, '') as text from documents),
 t2 as (select row_number() over () as rid, doc_id, lang, text, {WORDS} as w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from t),
 g as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as k from (select rid, w, unnest(range(1, len(w) - 1)) as i from t2)),
@@ -74,13 +78,20 @@ good as (select s2.* from s2 join y using (doc_id) where quality = 1 and not bas
 v as ({' union all '.join(f"select lang, '{k}' as rule, {x} as v from good" for k, x in _rules.items())}),
 grid as (select unnest({[g for g in quality.GRID]}::double[]) as cutoff, unnest(range({len(quality.GRID)})) as step),
 k as (select lang, rule, step, cutoff, count(*) as n, count(*) filter (v > cutoff) as k from v, grid group by 1, 2, 3, 4),
-terms as (select lang, rule, step, cutoff, n, k, unnest(case when k > n * {_alpha} then range(0) else range(k + 1) end) as i from k),
-cdf as (select lang, rule, step, cutoff, sum(exp((case when n > 0 then lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) end) + i * ln({_alpha}) + (n - i) * ln(1 - {_alpha}))) as p from terms group by 1, 2, 3, 4),
-tested as (select k.lang, k.rule, k.step, k.cutoff, coalesce(p, 1.0) as p, 0.05::double / {len(_rules)} / (select count(*) from (select distinct lang from good)) as level from k left join cdf on k.lang is not distinct from cdf.lang and k.rule = cdf.rule and k.step = cdf.step),
+terms as (select lang, rule, step, cutoff, n, k, unnest(case when k > n * {alpha} then range(0) else range(k + 1) end) as i from k),
+cdf as (select lang, rule, step, cutoff, sum(exp((case when n > 0 then lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) end) + i * ln({alpha}) + (n - i) * ln(1 - {alpha}))) as p from terms group by 1, 2, 3, 4),
+tested as (select k.lang, k.rule, k.step, k.cutoff, k.n, k.k, coalesce(p, 1.0) as p, {delta}::double / {len(_rules)} / (select count(*) from (select distinct lang from good)) as level from k left join cdf on k.lang is not distinct from cdf.lang and k.rule = cdf.rule and k.step = cdf.step),
 stops as (select lang, rule, coalesce(min(step) filter (p > level), 1000) as stop from tested group by 1, 2),
-cuts as (select t.lang, t.rule, arg_max(cutoff, step) as cutoff from tested t join stops s on t.lang is not distinct from s.lang and t.rule = s.rule where step < stop group by 1, 2),
+cuts as (select t.lang, t.rule, arg_max(cutoff, step) as cutoff from tested t join stops s on t.lang is not distinct from s.lang and t.rule = s.rule where step < stop group by 1, 2)"""
+
+
+QUALITY = f"""{quality_ctes(0.01, 0.05)},
 u as (select s2.*, {', '.join(f"(select cutoff from cuts where cuts.lang is not distinct from s2.lang and rule = '{k}') as c_{k}" for k in _rules)} from s2)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({' or '.join(f'coalesce({x} > c_{k}, false)' for k, x in _rules.items())}) as kept from u
 """
+CUTOFFS = f"""{quality_ctes(0.3, 0.2)}
+select lang, rule, max(cutoff) filter (step = last)::double as cutoff, max(n)::bigint as n_good, max(k) filter (step = last)::bigint as n_rejected
+from (select t.*, max(t.step) over (partition by t.lang, t.rule) as last from tested t join stops s on t.lang is not distinct from s.lang and t.rule = s.rule where t.step < stop) group by 1, 2
+"""
 
-ORACLES = {"op1_mixing": MIXING, "op4_quality_rules": QUALITY, "op6_chat_formatting": CHAT, "op10_warc": WARC}
+ORACLES = {"op1_mixing": MIXING, "op4_quality_rules": QUALITY, "quality_cutoffs": CUTOFFS, "op6_chat_formatting": CHAT, "op10_warc": WARC}

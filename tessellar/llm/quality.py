@@ -3,10 +3,10 @@
 Each rule is a statistic of the text, high for poor texts. On labelled rows that no other step has
 learnt from, cutoffs of a fixed grid are tested from the mildest to the strictest: with ``n`` good
 rows of a stratum (the language), ``k`` of them above the cutoff, the exact binomial tail
-``P(Bin(n, risk) <= k)`` is the p-value of "the rule rejects more than ``risk`` of the good rows". A
+``P(Bin(n, risk / rules) <= k)`` is the p-value of "the rule rejects more than its share of ``risk`` of the good rows". A
 cutoff holds while this and all milder ones have p-values of at most ``delta / (rules * strata)``:
 fixed-sequence testing within a rule, Bonferroni across rules and strata. So with probability
-``1 - delta`` no rule rejects more than ``risk`` of any stratum's good documents. A stratum without enough
+``1 - delta`` the rules together reject no more than ``risk`` of any stratum's good documents. A stratum without enough
 labels gets no cutoff for the rule and keeps its documents.
 
 Calibration counts all labelled rows. Null or empty texts have no words and fail the base rule; a null
@@ -81,8 +81,18 @@ def tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).when(k == 0, F.exp(n * F.log(F.lit(1 - p)))).otherwise(F.exp(log_term) * ratio)
 
 
+def cutoffs(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
+    """lang, rule, cutoff, n_good, n_rejected, p_value: what ``judge`` holds documents to."""
+    return thresholds(based(docs, min_words, max_repeat), labels, risk, delta)
+
+
+def based(docs: DataFrame, min_words: int, max_repeat: int) -> DataFrame:
+    """The statistics and base_failed, written once for all that reads them."""
+    return materialize(statistics(docs).withColumn("base_failed", F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat} * n_words")))
+
+
 def thresholds(stats: DataFrame, labels: DataFrame, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
-    """lang, rule, cutoff, n_good, n_rejected, p_value: the strictest cutoff that holds for each rule."""
+    """lang, rule, cutoff, n_good, n_rejected, p_value: the strictest cutoff that holds for each rule, from a written table of statistics."""
     y = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     good = stats.join(y.filter("quality = 1").select("doc_id"), "doc_id").filter("not base_failed")
     values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.expr(x).cast("double").alias("v")) for r, x in RULES.items()]))
@@ -101,8 +111,7 @@ def thresholds(stats: DataFrame, labels: DataFrame, risk: float = 0.01, delta: f
 
 def judge(docs: DataFrame, labels: DataFrame, min_words: int = 50, max_repeat: int = 50, risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """The statistics of each document, base_failed, kept, and ``rejected_by``: the rules it breaks."""
-    stats = statistics(docs).withColumn("base_failed", F.expr(f"n_words < {min_words} or 100 * n_repeat_words > {max_repeat} * n_words"))
-    stats = materialize(stats)
+    stats = based(docs, min_words, max_repeat)
     cut = thresholds(stats, labels, risk, delta).groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cuts")).withColumnRenamed("lang", "stratum")
     # a row for each language at most
     out = stats.join(cut, F.col("lang").eqNullSafe(F.col("stratum")), "left")

@@ -32,6 +32,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def quality_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4's cutoffs under a risk that also few labels can bound."""
+    return quality.cutoffs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.3, delta=0.2).drop("p_value")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runindex.dedup(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
@@ -76,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_line_dedup, op3_lm_scoring, op4_quality_rules, quality_cutoffs, op5_suffix_dedup, op6_chat_formatting, op7_decontamination, op8_toxicity, op9_minhash, op10_warc, pipeline)}
 
 ORACLES: dict[str, str] = {**oracles.ORACLES}
 if corpus_pipeline.ORACLE_SQL:

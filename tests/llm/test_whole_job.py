@@ -81,3 +81,19 @@ def test_items_without_an_id_are_reported(spark):
     out = decontam.contaminated(docs, items, per_block=2).collect()
     assert sorted((r.doc_id, r.item_id or 0) for r in out) == [(1, 0), (1, 0), (1, 4)]
     assert [r.doc_id for r in decontam.keep_clean(docs, items).collect()] == [2]
+
+
+def test_rows_without_an_id_are_told_apart_by_text(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text), (None, text), (None, "quite another text of seven words"), (9, text + " more"), (9, "an id that comes twice with two texts")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {(r.doc_id, r.text) for r in neardup.keep_first(docs).collect()}
+    assert kept == {rows[0], rows[2], rows[4]}
+
+
+def test_pipeline_lines_with_a_clashing_column(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a line\nb", 7), (2, "A line\nc", 8)], "doc_id long, text string, line_removed long")
+    out = corpus_pipeline.STAGES[1][1](spark, docs, SF)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [(1, "a line\nb", 7), (2, "c", 8)]
