@@ -94,4 +94,66 @@ select lang, rule, max(cutoff) filter (step = last)::double as cutoff, max(n)::b
 from (select t.*, max(t.step) over (partition by t.lang, t.rule) as last from tested t join stops s on t.lang is not distinct from s.lang and t.rule = s.rule where t.step < stop) group by 1, 2
 """
 
-ORACLES = {"op1_mixing": MIXING, "op4_quality_rules": QUALITY, "quality_cutoffs": CUTOFFS, "op6_chat_formatting": CHAT, "op10_warc": WARC}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: all pairs of lines that share a word of their prefixes, by exact Jaccard
+LINES = rf"""
+with l as (select doc_id, i, line, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as s from (select doc_id, unnest(t) as line, unnest(range(len(t))) as i from (select doc_id, string_split({LOWER}, chr(10)) as t from documents))),
+o as (select doc_id, i, list_sort(s) as s, doc_id * 1000000000 + i as place from l where len(s) > 0),
+u as (select row_number() over () as sid, s, len(s) as n, min(place) as first from o group by s),
+w as (select sid, n, unnest(s) as word from u),
+r as (select *, row_number() over (partition by sid order by df, word) as r from (select *, count(*) over (partition by word) as df from w)),
+p as (select sid, n, word from r where r <= n - (80 * n + 99) // 100 + 1),
+c as (select distinct a.sid as a, b.sid as b from p a join p b on a.word = b.word and a.sid <> b.sid and 100 * a.n >= 80 * b.n and 100 * b.n >= 80 * a.n),
+near as (select c.a, min(y.first) as first from (select c.*, x.s as sa, y.s as sb from c join u x on x.sid = a join u y on y.sid = b) c join u y on y.sid = c.b where 100 * len(list_intersect(sa, sb)) >= 80 * (len(sa) + len(sb) - len(list_intersect(sa, sb))) group by 1),
+best as (select s, least(u.first, coalesce(near.first, u.first)) as first from u left join near on a = sid),
+gone as (select doc_id, i from o join best using (s) where place > first),
+t as (select doc_id, text, string_split(text, chr(10)) as t from documents),
+k as (select t.doc_id, count(gone.i) as n_removed, coalesce(string_agg(gone.i::varchar, ',' order by gone.i), '') as line_removed, coalesce(string_agg(line, chr(10) order by x.i) filter (gone.i is null), '') as kept
+  from (select doc_id, unnest(t) as line, unnest(range(len(t))) as i from t) x join t on t.doc_id = x.doc_id left join gone on gone.doc_id = x.doc_id and gone.i = x.i group by 1)
+select t.doc_id, coalesce(n_removed, 0)::bigint as n_removed, coalesce(line_removed, '') as line_removed, case when text is not null then sha256(kept) end as kept_sha256 from t left join k using (doc_id)
+"""
+
+#: bytes as hexadecimal digits, cut into pieces first, since a substring is looked up from the start of its text
+REPEATS = """
+with h as (select doc_id, hex(coalesce(text, '')) as x from documents),
+b as (select doc_id, o, substr(x, 2 * o + 1, 1398) as x from (select doc_id, x, unnest(range(0, len(x) // 2 - 199, 500)) as o from h)),
+w as (select doc_id, o + p as p, hash(substr(x, 2 * p + 1, 400)) as k from (select doc_id, o, x, unnest(range(least(500, len(x) // 2 - 199))) as p from b)),
+hit as (select doc_id, p from w where k in (select k from w group by k having count(*) > 1)),
+isle as (select doc_id, min(p) as s, max(p) + 200 as e from (select *, sum(new) over (partition by doc_id order by p) as g from (select doc_id, p, case when p <= lag(p) over (partition by doc_id order by p) + 200 then 0 else 1 end as new from hit)) group by doc_id, g),
+cut as (select doc_id, coalesce(lag(e) over (partition by doc_id order by s), 0) as a, s as b, e from isle),
+part as (select doc_id, a, b from cut union all select doc_id, max(e), null from cut group by 1),
+kept as (select doc_id, string_agg(case when b is null then substr(x, 2 * a + 1) else substr(x, 2 * a + 1, 2 * (b - a)) end, '' order by a) as x from part join h using (doc_id) group by 1),
+n as (select doc_id, count(*) as n_spans, sum(e - s) as n_removed from isle group by 1)
+select h.doc_id, (len(h.x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept.x, h.x))) as kept_sha256 from h left join kept using (doc_id) left join n using (doc_id)
+"""
+
+#: exact Jaccard of all documents that share a shingle, and their components
+NEAR = rf"""
+with recursive w as (select doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, g from (select doc_id, unnest(case when len(w) < 4 then case when len(w) = 0 then [] else [array_to_string(w, ' ')] end else list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) end) as g from w)),
+n as (select doc_id, count(*) as n from s group by 1),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+link as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+edge as (select a, b from link union all select b, a from link),
+reach as (select a as x, b as y from edge union select r.x, e.b from reach r join edge e on e.a = r.y),
+m as (select x as doc_id, min(y) as low from reach group by 1)
+select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id, least(doc_id, coalesce(low, doc_id)) = doc_id as kept from documents left join n using (doc_id) left join m using (doc_id)
+"""
+
+#: every window that holds a shingle of an item, by exact similarity of multisets
+LEAKS = rf"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+i as (select row_number() over () as iid, item_id, w, least(5, len(w)) as k from (select item_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') as w from benchmark) where len(w) > 0),
+ig as (select iid, item_id, k, list_transform(range(1, len(w) - k + 2), lambda j: hash(array_to_string(w[j : j + k - 1], ' '))) as a from i),
+dg as (select rid, doc_id, k, list_transform(range(1, len(w) - k + 2), lambda j: hash(array_to_string(w[j : j + k - 1], ' '))) as b from d, (select distinct k from i) where len(w) >= k),
+hit as (select rid, iid, p from (select rid, k, unnest(b) as s, unnest(range(len(b))) as p from dg) join (select distinct iid, k, unnest(a) as s from ig) using (k, s)),
+x as (select rid, iid, doc_id, item_id, ig.k, a, b, least(len(a), len(b)) as width from (select distinct rid, iid from hit) join ig using (iid) join dg using (rid, k)),
+start as (select distinct rid, iid, unnest(range(greatest(0, p - width + 1), least(p, len(b) - width) + 1)) as p from hit join x using (rid, iid) where width * 100 >= len(a) * 80),
+v as (select rid, iid, doc_id, item_id, k, width, p, a, b[p + 1 : p + width] as w from start join x using (rid, iid)),
+n as (select rid, iid, doc_id, item_id, k, width, p, len(a) as size, list_sum(list_transform(list_distinct(a), lambda y: least(len(list_filter(a, lambda z: z = y)), len(list_filter(w, lambda z: z = y))))) as both_ from v),
+r as (select *, both_::double / (size + width - both_) as similarity from n)
+select doc_id, item_id, max(similarity) as similarity, arg_min(p, (-similarity, p))::bigint as first_word, any_value(width + k - 1)::bigint as n_words from r where similarity * 100 >= 80 group by rid, iid, doc_id, item_id
+"""
+
+ORACLES = {"op1_mixing": MIXING, "op2_line_dedup": LINES, "op4_quality_rules": QUALITY, "quality_cutoffs": CUTOFFS, "op5_suffix_dedup": REPEATS, "op6_chat_formatting": CHAT, "op7_decontamination": LEAKS, "op9_minhash": NEAR, "op10_warc": WARC}

@@ -19,7 +19,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.size("line_removed").cast("long").alias("n_removed"), "line_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return out.select("doc_id", F.size("line_removed").cast("long").alias("n_removed"), F.array_join("line_removed", ",").alias("line_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,7 @@ def test_items_without_an_id_are_reported(spark):
     items = [(None, "one two three four five six seven"), (None, "red green blue black white grey"), (4, "red green blue black white grey")]
     docs = [(1, "so " + items[0][1] + " it goes " + items[1][1]), (2, "nothing of that kind is in here")]
     docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    out = decontam.contaminated(docs, items, per_block=2).collect()
+    out = decontam.contaminated(docs, items, block_bytes=40).collect()
     assert sorted((r.doc_id, r.item_id or 0) for r in out) == [(1, 0), (1, 0), (1, 4)]
     assert [r.doc_id for r in decontam.keep_clean(docs, items).collect()] == [2]
 
