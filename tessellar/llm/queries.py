@@ -66,15 +66,11 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.shared_dir(spark)
     warc.write_warc(table(spark, sf_dir, "pages"), path)
-    r = warc.read_warc(spark, path)
-    own = F.col("record_type") == "response"
-    return r.select(
-        "page_id",
-        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(own, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
-    )
+    # either kind by a filter that the source takes; a revisit has no payload, so those of the others are stepped over for it
+    whole = warc.read_warc(spark, path).filter("record_type = 'response'")
+    revisit = warc.read_warc(spark, path, payload=False).filter("record_type = 'revisit'")
+    own = [F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest")]
+    return whole.select("page_id", *own, "record_type", "refers_to").unionByName(revisit.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
