@@ -167,6 +167,18 @@ def shingles(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return mix64(g), begin
 
 
+def fresh(seen: set, keys: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+    """Which keys this task hasn't met; it forgets now and then, and what it repeats does no harm."""
+    out = np.zeros(len(keys), bool)
+    for i, x in enumerate(keys.tolist()):
+        if x not in seen:
+            seen.add(x)
+            out[i] = True
+    if len(seen) > limit:
+        seen.clear()
+    return out
+
+
 def sum_slices(parts: DataFrame, dtype: str, fan: int = 64) -> DataFrame:
     """Add up rows (slice int, part int, payload binary) of equal-length vectors by slice, in two
     steps so that no task sees more than a share of the parts."""

@@ -11,7 +11,8 @@ A line goes if any line before it is that similar, whether or not that one goes
 number in the text). So a line needs one match among those before it. Round one verifies its likeliest partner by bit maps
 of 64 bits on their full sets. Lines for which that fails and that have other partners go through round two, whose bit maps have
 512 bits, and what is then left through round three, which verifies all partners. Rows written grow with the
-lines, and with pairs only in round three.
+lines, and with pairs only in round three. The text is read three times: for the sketch, for the prefixes of round one, and for the
+sets of the lines that met another there, which later rounds work on.
 
 Lines of fewer than ``min_words`` words (one by default) stay and aren't compared; so do lines without words, null and empty
 texts. Rows that share an id are told apart by the hash of the text, and lines of equal number by the hash of theirs; wholly
@@ -135,13 +136,12 @@ def ordered(h: np.ndarray, a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> tu
     return w, np.searchsorted(line, np.arange(len(a) + 1))
 
 
-def fresh(seen: set, keys: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
-    """Which keys this task hasn't met; it forgets now and then, and what it repeats does no harm."""
-    out = np.zeros(len(keys), bool)
-    for i, x in enumerate(keys.tolist()):
-        if x not in seen:
-            seen.add(x)
-            out[i] = True
+def earlier(seen: dict, k1: np.ndarray, doc: np.ndarray, number: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+    """Which lines this task hasn't met at this place or before it; it forgets now and then, and what it repeats does no harm."""
+    out = np.zeros(len(k1), bool)
+    for i, (x, y) in enumerate(zip(k1.tolist(), zip(doc.tolist(), number.tolist(), strict=True), strict=True)):
+        if x not in seen or seen[x] > y:
+            seen[x], out[i] = y, True
     if len(seen) > limit:
         seen.clear()
     return out
@@ -178,62 +178,89 @@ def unpacked(payload: bytes, maps: int) -> list[np.ndarray]:
     return out
 
 
-def prefix_rows(docs: DataFrame, min_words: int, percent: int, rank, buckets: int, maps: int = 1, words_of=None, met_of=None) -> DataFrame:
-    """(bucket, payload): the entries of each line's prefix, packed by a bucket of the word; ``words_of`` and ``met_of``: filters
-    on the words, and on words with lines."""
+def packer(buckets: int):
+    """Gathers columns of entries and gives (bucket, payload): packed by a bucket of the word."""
+    held: list[list] = []
+    size = 0
 
-    def run(batches):
-        seen: dict = {}
-        held: list[list] = []
-        size = 0
+    def flush():
+        nonlocal held, size
+        if not size:
+            return
+        cols = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held, size = [], 0
+        bucket = (mix64(cols[0].view(U).copy()) % U(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, cols = bucket[order], [c[order] for c in cols]
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        for lo in range(0, len(cut), 64):
+            some = cut[lo : lo + 64].tolist()
+            ends = cut[lo + 1 : lo + 65].tolist()
+            ends += [len(bucket)] * (len(some) - len(ends))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[some]), pa.array([packed([c[x:y] for c in cols]) for x, y in zip(some, ends, strict=True)], pa.binary())], ["bucket", "payload"])
+
+    def add(cols: list[np.ndarray]):
+        nonlocal size
+        held.append(cols)
+        size += len(cols[0])
+        if size > 1_000_000:
+            yield from flush()
+
+    return add, flush
 
-        def flush():
-            cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            bucket = (mix64(cols[0].view(U).copy()) % U(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, cols = bucket[order], [c[order] for c in cols]
-            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            for lo in range(0, len(cut), 64):
-                some = cut[lo : lo + 64].tolist()
-                ends = cut[lo + 1 : lo + 65].tolist()
-                ends += [len(bucket)] * (len(some) - len(ends))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[some]), pa.array([packed([c[x:y] for c in cols]) for x, y in zip(some, ends, strict=True)], pa.binary())], ["bucket", "payload"])
 
+def entries(w: np.ndarray, begin: np.ndarray, k1: np.ndarray, doc: np.ndarray, number: np.ndarray, percent: int, maps: int, words_of=None, met_of=None) -> list[np.ndarray]:
+    """The entries of each line's prefix, of ordered words."""
+    n = np.diff(begin)
+    bits = [np.bitwise_xor.reduceat(np.where((w >> U(6)) % U(maps) == U(i), U(1) << (w & U(63)), U(0)), begin[:-1]).view(np.int64) for i in range(maps)]
+    at, line = runs(begin[:-1], begin[:-1] + n + (-n * percent // 100) + 1)  # n - ceil(n * percent / 100) + 1
+    if words_of is not None:
+        ok = maybe(words_of.value, w[at].view(np.int64))
+        at, line = at[ok], line[ok]
+        ok = maybe(met_of.value, incidence(w[at].view(np.int64), k1[line]))
+        at, line = at[ok], line[ok]
+    return [w[at].view(np.int64), k1[line], doc[line], n[line].astype(np.int32), (at - begin[line]).astype(np.int32), number[line].astype(np.int32), *(m[line] for m in bits)]
+
+
+def prefix_rows(docs: DataFrame, min_words: int, percent: int, rank, buckets: int) -> DataFrame:
+    """(bucket, payload): the entries of each line's prefix, with one bit map."""
+
+    def run(batches):
+        seen: dict = {}
+        add, flush = packer(buckets)
         for batch in batches:
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             for lo, _, data, off in slices(batch.column("text")):
                 h, a, b, row, number = lines(data, off, min_words)
                 k1, _ = identity(h, a, b)
                 doc = ids[row + lo]
-                new = np.zeros(len(k1), bool)
-                for i, (x, y) in enumerate(zip(k1.tolist(), zip(doc.tolist(), number.tolist(), strict=True), strict=True)):
-                    if x not in seen or seen[x] > y:
-                        seen[x], new[i] = y, True
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                k1, a, b, doc, number = k1[new], a[new], b[new], doc[new], number[new]
-                if not len(k1):
-                    continue
-                w, begin = ordered(h, a, b, rank.value)
-                n = np.diff(begin)
-                bits = [np.bitwise_xor.reduceat(np.where((w >> U(6)) % U(maps) == U(i), U(1) << (w & U(63)), U(0)), begin[:-1]).view(np.int64) for i in range(maps)]
-                at, line = runs(begin[:-1], begin[:-1] + n + (-n * percent // 100) + 1)  # n - ceil(n * percent / 100) + 1
-                if words_of is not None:
-                    ok = maybe(words_of.value, w[at].view(np.int64))
-                    at, line = at[ok], line[ok]
-                    ok = maybe(met_of.value, incidence(w[at].view(np.int64), k1[line]))
-                    at, line = at[ok], line[ok]
-                held.append([w[at].view(np.int64), k1[line], doc[line], n[line].astype(np.int32), (at - begin[line]).astype(np.int32), number[line].astype(np.int32), *(m[line] for m in bits)])
-                size += len(at)
-                if size > 1_000_000:
-                    yield from flush()
-                    held, size = [], 0
-        if size:
-            yield from flush()
+                new = earlier(seen, k1, doc, number)
+                if new.any():
+                    yield from add(entries(*ordered(h, a[new], b[new], rank.value), k1[new], doc[new], number[new], percent, 1))
+        yield from flush()
 
     return docs.select("doc_id", "text").mapInArrow(run, "bucket long, payload binary")
 
 
+def prefix_rows_again(full: DataFrame, percent: int, rank, buckets: int, words_of, met_of) -> DataFrame:
+    """As ``prefix_rows``, of lines by their sets, with ``WIDE`` bit maps; ``words_of`` and ``met_of``: filters on the words, and on
+    words with lines."""
+
+    def run(batches):
+        add, flush = packer(buckets)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                b = batch.slice(lo, 4096)
+                sets = b.column("words")
+                off = sets.offsets.to_numpy()
+                h = sets.values.to_numpy().view(U)
+                k1, doc, number = (b.column(c).to_numpy() for c in ("k1", "doc_id", "line"))
+                yield from add(entries(*ordered(h, off[:-1], off[1:], rank.value), k1, doc, number, percent, WIDE, words_of, met_of))
+        yield from flush()
+
+    return full.select("k1", "doc_id", "line", "words").mapInArrow(run, "bucket long, payload binary")
+
+
 def incidence(word: np.ndarray, k1: np.ndarray) -> np.ndarray:
     """A key of a line under a word."""
     return mix64(word.view(U) * U(0x9E3779B97F4A7C15) + k1.view(U)).view(np.int64)
@@ -456,22 +483,25 @@ def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False,
 
 
 def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
-    """(k1, k2, words) of the lines that ``members`` (column k) names; a few others may be among them."""
-    bits = id_filter(members, "k")
+    """(k1, k2, doc_id, line, words) of the lines that ``members`` (column a) names, each once and at its first place; a few others
+    may be among them."""
+    bits = id_filter(members, "a")
 
     def run(batches):
-        seen: set = set()
+        seen: dict = {}
         for batch in batches:
-            for _, _, data, off in slices(batch.column("text")):
-                h, a, b, _, _ = lines(data, off, min_words)
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            for lo, _, data, off in slices(batch.column("text")):
+                h, a, b, row, number = lines(data, off, min_words)
                 k1, k2 = identity(h, a, b)
                 at = np.flatnonzero(maybe(bits.value, k1))
-                at = at[fresh(seen, k1[at])]
+                at = at[earlier(seen, k1[at], ids[row[at] + lo], number[at])]
                 if len(at):
                     s = [np.unique(h[x:y]).view(np.int64) for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array(ids[row[at] + lo]), pa.array(number[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "line", "words"])
 
-    return docs.select("text").mapInArrow(run, "k1 long, k2 long, words array<long>")
+    each = docs.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, doc_id long, line long, words array<long>")
+    return each.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line", "words")).alias("m")).select("k1", "k2", "m.*")
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -490,12 +520,19 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataF
     rank, n_words = gathered(first_pass)
     buckets = max(64, n_words // 500_000)
 
-    links, rest, tried, met = None, None, None, None
+    links, rest, tried, met, full = None, None, None, None, None
     for maps, every_one in ((1, False), (WIDE, False), (WIDE, True)):
-        only = () if rest is None else (id_filter(met.join(rest, "a", "left_semi"), "word"), id_filter(met, "word", "a", key=incidence))
-        probes = None if rest is None else id_filter(rest, "a")
-        out = materialize(grouped(prefix_rows(docs, min_words, percent, rank, buckets, maps, *only), percent, maps, every_one, probes))
-        met = out.filter("payload is null").select("word", "a", "b", "more", "likeness").union(dealt(out.filter("payload is not null"), percent, maps, every_one, probes))
+        if rest is None:
+            probes, prefixes = None, prefix_rows(docs, min_words, percent, rank, buckets)
+        else:
+            probes = id_filter(rest, "a")
+            prefixes = prefix_rows_again(full, percent, rank, buckets, id_filter(met.join(rest, "a", "left_semi"), "word"), id_filter(met, "word", "a", key=incidence))
+        out = materialize(grouped(prefixes, percent, maps, every_one, probes))
+        common = materialize(dealt(out.filter("payload is not null"), percent, maps, every_one, probes))
+        met = out.filter("payload is null").select("word", "a", "b", "more", "likeness").union(common)
+        if full is None:
+            # the text is read for the last time: all lines that met another, as sets
+            full = materialize(line_sets(docs, min_words, met.select("a")))
         pairs = met.filter("b is not null")
         if every_one:
             near = pairs.select("a", "b", F.lit(False).alias("more")).distinct()
@@ -504,7 +541,6 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataF
         near = near if tried is None else near.join(rest, "a", "left_semi")
         near = materialize(near)
         fresh_pairs = near.select("a", "b") if tried is None else near.select("a", "b").join(tried, ["a", "b"], "left_anti")
-        full = materialize(line_sets(docs, min_words, near.select(F.explode(F.array("a", "b")).alias("k"))))
         now = verified(fresh_pairs, full, percent)
         links = materialize(now if links is None else links.union(now))
         rest = materialize(near.filter("more").select("a").join(links.select("a"), "a", "left_anti"))
@@ -526,7 +562,8 @@ def dedup(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:
     gone = later_lines(docs, percent, min_words).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).agg(F.sort_array(F.collect_set("line")).alias("_gone"))
     rows, names = sheltered(docs, "doc_id", "text")
     rows = rows.withColumn("_th", text_hash())
-    rows = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("_th").eqNullSafe(F.col("_h")), "left")
+    # a row's numbers are few, so they go into a hash table of each task and the texts needn't be sorted
+    rows = rows.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("_th").eqNullSafe(F.col("_h")), "left")
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
     removed = F.coalesce("_gone", F.array().cast("array<long>"))

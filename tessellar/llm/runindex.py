@@ -30,9 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, mix64, prefix, slices, small_batches, span_hash, text_hash
+from tessellar.llm.common import U, fresh, materialize, mix64, prefix, slices, small_batches, span_hash, text_hash
 from tessellar.llm.filters import id_filter, maybe
-from tessellar.llm.linededup import fresh
 
 LENGTH, GRAM = 200, 32
 #: grams in a string, and so bytes that a context has at most before its anchor

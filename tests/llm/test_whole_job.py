@@ -95,5 +95,5 @@ def test_pipeline_lines_with_a_clashing_column(spark):
     import corpus_pipeline
 
     docs = spark.createDataFrame([(1, "a line\nb", 7), (2, "A line\nc", 8)], "doc_id long, text string, line_removed long")
-    out = corpus_pipeline.STAGES[1][1](spark, docs, SF)
+    out = corpus_pipeline.STAGES[1][1](spark, docs, str(DATA / "sf0.001"))
     assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [(1, "a line\nb", 7), (2, "c", 8)]
