@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from tessellar.functions import mercator as m
 from tessellar.functions.grid import Box
-from tessellar.operators import index, keys, ledger, pyramid, tiles
+from tessellar.operators import cycle, index, keys, ledger, pyramid, tiles
 from tessellar.sources import features as src
 from tessellar.sources import manifests, sinks
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tessellar", description=__doc__)
-    p.add_argument("command", choices=["partition", "tiles", "cells", "status", "viewport"])
+    p.add_argument("command", choices=["partition", "tiles", "run", "cells", "status", "viewport"])
     p.add_argument("--input", nargs="+", help="Parquet files or folders, one for each theme")
     p.add_argument("--theme", nargs="+", choices=src.THEMES)
     p.add_argument("--output", required=False)
@@ -25,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--z-max", type=int, default=m.Z_MAX)
     p.add_argument("--floor-z", type=int, default=0)
     p.add_argument("--row-bytes", type=int, default=400, help="estimated bytes of a row in a tile")
+    p.add_argument("--limit", type=int, help="peels to work off in this run")
+    p.add_argument("--release")
     p.add_argument("--dry-run", action="store_true")
     return p
 
@@ -52,6 +54,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         sizes = sinks.write_tiles(out, f"{a.output}/tiles")
         entries = tiles.weighed(tiles.manifest(out, a.budget), sizes, a.budget).withColumnRenamed("weight", "size_bytes")
         manifests.write_json(entries, f"{a.output}/manifest")
+    elif a.command == "run":
+        state = cycle.load_state(spark, a.output)
+        if a.dry_run:
+            ledger.peels_left(spark, state["completed_peels_in_cycle"], limit=a.limit).show(1000)
+            return
+        state = cycle.run(spark, load(spark, a), a.output, a.budget, a.z_max, a.row_bytes, a.limit, a.release)
+        index.write_document(*cycle.read_index(spark, state["index"]), f"{a.output}/index.json", state["cycle"], cycle.now())
     elif a.command == "cells":
         t = pyramid.quadtree(keys.fine_cells(keys.celled(load(spark, a), Box(*a.bbox) if a.bbox else None)), a.budget // a.row_bytes)
         t.groupBy("theme", "z").count().orderBy("theme", "z").show() if a.dry_run else sinks.write_table(t, a.output)

@@ -58,3 +58,23 @@ def export(tiles: DataFrame, peels: DataFrame, path: str, cycle: int, generated_
     head.write.mode("overwrite").json(f"{path}/head")
     tiles.orderBy("z", "x", "y").write.mode("overwrite").json(f"{path}/tiles")
     peels.orderBy("peel_idx").coalesce(1).write.mode("overwrite").json(f"{path}/peels")
+
+
+def document(tiles: DataFrame, peels: DataFrame, cycle: int, generated_at: str) -> DataFrame:
+    """The index as the lines of one JSON document (n, line): a head, the peels, and a tile a line, in order; joined by nothing they are the
+    document. No row holds more than a tile or the peels."""
+    body = tiles.select("z", "x", "y", F.to_json(F.struct("z", "x", "y", "size_bytes", "feature_count", "theme_counts", "bbox", "vintage")).alias("line"))
+    head = tiles.agg(F.count(F.lit(1)).alias("tile_count"))
+    peel_list = peels.agg(F.sort_array(F.collect_list(F.struct("peel_idx", "lng_lo", "lng_hi", "vintage"))).alias("peels"))
+    first = F.to_json(F.struct(F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(generated_at).alias("generated_at"), F.lit(cycle).alias("cycle"), "tile_count", "peels"), {"ignoreNullFields": "false"})
+    top = head.crossJoin(F.broadcast(peel_list)).select(F.lit(-1).alias("z"), F.lit(0).alias("x"), F.lit(0).alias("y"), F.regexp_replace(first, r"\}$", ',"tiles":[').alias("line"))
+    tail = top.select(F.lit(1 << 30).alias("z"), "x", "y", F.lit("]}").alias("line"))
+    # a comma before each tile but the first
+    least = tiles.agg(F.min(F.struct("z", "x", "y")).alias("least"))
+    body = body.crossJoin(F.broadcast(least)).select("z", "x", "y", F.concat(F.when(F.struct("z", "x", "y") == F.col("least"), "").otherwise(","), "line").alias("line"))
+    return top.unionByName(body).unionByName(tail).orderBy("z", "x", "y")
+
+
+def write_document(tiles: DataFrame, peels: DataFrame, path: str, cycle: int, generated_at: str) -> None:
+    """The one file of ``document``, in a folder: for consumers that fetch a single file."""
+    document(tiles, peels, cycle, generated_at).select("line").coalesce(1).write.mode("overwrite").text(path)

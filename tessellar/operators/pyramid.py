@@ -70,6 +70,26 @@ def rekey(rows: DataFrame, final: DataFrame, dedupe: str | None = None) -> DataF
     return out.dropDuplicates(["z", "x", "y", dedupe]) if dedupe else out
 
 
+def entries(tiles: DataFrame, final: DataFrame, budget: int) -> DataFrame:
+    """The manifest of the merged set: feature_count, theme_counts, weight, oversize, status and bbox of each final tile, added up over the
+    tiles (with theme_counts) that it took in. Works on the manifest, not on rows."""
+    up = rekey(tiles.filter("status = 'done'").select("z", "x", "y", "feature_count", "weight", "theme_counts"), final)
+    themes = up.select("z", "x", "y", F.explode("theme_counts").alias("theme", "n")).groupBy("z", "x", "y", "theme").agg(F.sum("n").alias("n"))
+    themes = themes.groupBy("z", "x", "y").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("theme", "n")))).alias("theme_counts"))
+    out = up.groupBy("z", "x", "y").agg(F.sum("feature_count").alias("feature_count"), F.sum("weight").alias("weight")).join(themes, ["z", "x", "y"], "left")
+    e = m.extent(F.col("z"), "x", "y")
+    return out.withColumns({"oversize": F.col("weight") > budget, "status": F.lit("done"), "bbox": F.array(e["west"], e["south"], e["east"], e["north"])})
+
+
+def split_measured(final: DataFrame, base: DataFrame, sizes: DataFrame, budget: int) -> tuple[DataFrame, DataFrame]:
+    """(over, kids): merged tiles whose measured size_bytes is over budget, and the four that take the place of each. A tile of ``base`` wasn't
+    merged and stays."""
+    key = ["z", "x", "y"]
+    over = final.select(*key).join(sizes.filter(F.col("size_bytes") > budget).select(*key), key, "left_semi").join(base.select(*key), key, "left_anti")
+    kids = over.select(F.explode(m.children("z", "x", "y")).alias("k")).select("k.z", "k.x", "k.y")
+    return over, kids
+
+
 def quadtree(fine: DataFrame, budget: int, min_deg: float = grid.MIN_CELL_DEG, weight: str | None = None) -> DataFrame:
     """Tiles (theme, z, x, y, box, n, weight) of rows in 0.1 degree cells (theme, x, y, bbox): a tile over budget is split into quadrants
     until it is within, or no wider than ``min_deg``.

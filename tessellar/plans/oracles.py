@@ -159,6 +159,7 @@ ORACLES = {
     "phase_b_wide": f"with {BASE}, {merged(6, 0, 60)} {DONE}",
     "phase_b_floor6": f"with {BASE_8}, {merged(8, 6, BUDGET)} {DONE}",
     "phase_b_rekey": f"with {BASE}, {merged(6, 0, BUDGET)} select cast(d.z as int) as z, cast(d.x as int) as x, cast(d.y as int) as y, theme, count(*) as n from l join done d on d.x = l.x >> (6 - d.z) and d.y = l.y >> (6 - d.z) group by 1, 2, 3, 4",
+    "merged_entries": f"with {BASE}, {merged(6, 0, BUDGET)} select cast(d.z as int) as z, cast(d.x as int) as x, cast(d.y as int) as y, count(*) as feature_count, count(*) > {BUDGET} as oversize, count(*) filter (theme = 'water') as water, cast(count(distinct coalesce(theme, 'unknown')) as int) as themes, {', '.join(f'round({v}, 9) as {k}' for k, v in extent('d.z', 'd.x', 'd.y').items())} from l join done d on d.x = l.x >> (6 - d.z) and d.y = l.y >> (6 - d.z) group by d.z, d.x, d.y",
     "cell_bounds": f"with {C} select id, lon_lo, lon_hi, lat_lo, lat_hi from c0",
     "span_clamp": f"with {C} select id from c",
     "cell_extent": f"with {C} select count(*) as rows, min(lon_lo) as lon_lo_min, max(lon_hi) as lon_hi_max, min(lat_lo) as lat_lo_min, max(lat_hi) as lat_hi_max from c",

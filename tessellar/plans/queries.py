@@ -220,6 +220,14 @@ def phase_b_rekey(spark, sf):
     return pyramid.rekey(rows, final).groupBy("z", "x", "y", "theme").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def merged_entries(spark, sf):
+    """The manifest of the merged set, with counts by theme."""
+    base = materialize(tiles.manifest(tiles.in_leaves(features(spark, sf), m.Z_BUCKET), BUDGET))
+    t = pyramid.entries(base, pyramid.merge_up(base, BUDGET), BUDGET)
+    return t.select("z", "x", "y", "feature_count", "oversize", F.coalesce(F.col("theme_counts")["water"], F.lit(0)).alias("water"), F.size("theme_counts").alias("themes"), *[F.round(F.col("bbox")[i], 9).alias(c) for i, c in enumerate(("west", "south", "east", "north"))])
+
+
 CELLS = ("_lon_lo", "_lon_hi", "_lat_lo", "_lat_hi")
 
 

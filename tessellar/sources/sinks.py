@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,25 +36,51 @@ def write_sorted(df: DataFrame, path: str, *keys: str, codec: str = "gzip") -> N
     write_table(df.repartitionByRange(*keys).sortWithinPartitions(*keys), path, codec)
 
 
+def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return pafs.FileSystem.from_uri("/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path)
+
+
 def write_tiles(df: DataFrame, path: str, codec: str = "zstd", flat: bool = False) -> DataFrame:
     """One file for each (z, x, y), as ``z/x/y.parquet``, or as ``z_x_y.parquet.gz`` if ``flat``. Spark writes a folder for each
-    tile; the rename pass brings the files to their places. Returns z, x, y and measured size_bytes."""
+    tile; tasks then move the files to their places, each over what was there in one step, and a task that runs again finds its files
+    moved. Returns z, x, y and measured size_bytes."""
     spark = df.sparkSession
     stage = f"{path.rstrip('/')}/_stage"
     codec = "gzip" if flat else codec
     df.repartition("z", "x", "y").write.mode("overwrite").options(**CODECS[codec]).partitionBy("z", "x", "y").parquet(stage)
     sizes = materialize(tile_sizes(spark, stage))
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for r in sizes.toLocalIterator():
-        name = f"{r['z']}_{r['x']}_{r['y']}.parquet.gz" if flat else f"{r['z']}/{r['x']}/{r['y']}.parquet"
-        to = hadoop.Path(f"{path}/{name}")
-        fs.mkdirs(to.getParent())
-        fs.delete(to, False)
-        if not fs.rename(hadoop.Path(r["path"]), to):
-            raise OSError(f"could not move {r['path']}")
-    fs.delete(hadoop.Path(stage), True)
-    return sizes.drop("path")
+
+    def move(batches):
+        fs, base = open_fs(path)
+        for b in batches:
+            for r in b.to_pylist():
+                to = f"{base}/{r['z']}_{r['x']}_{r['y']}.parquet.gz" if flat else f"{base}/{r['z']}/{r['x']}/{r['y']}.parquet"
+                fs.create_dir(to.rpartition("/")[0], recursive=True)
+                try:
+                    fs.move(open_fs(r["path"])[1], to)
+                except FileNotFoundError:
+                    if fs.get_file_info(to).type != pafs.FileType.File:
+                        raise
+            yield b.drop_columns(["path"])
+
+    moved = materialize(sizes.mapInArrow(move, "z int, x int, y int, size_bytes long"))
+    fs, base = open_fs(stage)
+    fs.delete_dir(base)
+    return moved
+
+
+def delete_tiles(tiles: DataFrame, path: str) -> None:
+    """Deletes the files of tiles (z, x, y) below a path, in tasks."""
+
+    def drop(rows):
+        fs, base = open_fs(path)
+        for r in rows:
+            at = f"{base}/{r['z']}/{r['x']}/{r['y']}.parquet"
+            if fs.get_file_info(at).type == pafs.FileType.File:
+                fs.delete_file(at)
+
+    tiles.select("z", "x", "y").foreachPartition(drop)
 
 
 def tile_sizes(spark: SparkSession, path: str) -> DataFrame:
