@@ -198,6 +198,13 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 HELD = "coalesce(pmod(crc32(cast(cast(doc_id as string) as binary)), 7) = 2, false)"
 
 
+def chunk_of(file: Column, row: Column, size: Column, most: int = 26) -> Column:
+    """A chunk of at most ``2 ** most`` bytes of text (or one longer row): rows of a file that lie together, 4,096 of those of up to 16 KB,
+    and half as many for each doubling of the size, by classes of size."""
+    kind = F.ceil(F.log2(F.greatest(F.coalesce(size, F.lit(0)), F.lit(1 << most - 12))))
+    return F.xxhash64(file, kind, F.floor(row / F.pow(F.lit(2.0), F.lit(most) - kind)))
+
+
 def score(docs: DataFrame, chunk: Column | None = None, rounds: int = 1, rate: float = 0.5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row.
 

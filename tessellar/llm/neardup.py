@@ -14,8 +14,8 @@ cases), and what passes is confirmed on full sets too. So no link is given up, a
 isn't paired out.
 
 Null or empty texts have an empty set and link with nothing; rows without an id never name a component (one whose rows all
-lack it has none) and count as one document if their texts are equal; rows that share an id but not the text are judged each by its own
-text; other columns are ignored.
+lack it has none) and count as one document if their texts are equal; rows that share an id count as one document; other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / 4096)).alias("chunk"))
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", lm.chunk_of(F.col("_metadata.file_path"), F.col("_metadata.row_index"), F.octet_length("text")).alias("chunk"))
     return lm.score(docs, F.col("chunk"))
 
 
