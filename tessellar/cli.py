@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import json
+import logging
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,15 @@ from pyspark.sql import functions as F
 from tessellar.functions import mercator as m
 from tessellar.functions.grid import Box
 from tessellar.operators import cycle, index, keys, ledger, pyramid, tiles
+from tessellar.plans import ladder
 from tessellar.sources import features as src
 from tessellar.sources import manifests, sinks
+from tessellar.tables import sweep
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tessellar", description=__doc__)
-    p.add_argument("command", choices=["partition", "tiles", "run", "cells", "status", "viewport"])
+    p.add_argument("command", choices=["partition", "tiles", "run", "cells", "status", "viewport", "ladder"])
     p.add_argument("--input", nargs="+", help="Parquet files or folders, one for each theme")
     p.add_argument("--theme", nargs="+", choices=src.THEMES)
     p.add_argument("--output", required=False)
@@ -39,7 +43,17 @@ def load(spark: SparkSession, a: argparse.Namespace):
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("tessellar").getOrCreate()
+    if spark is not None:
+        # the caller's session, whose tables others may read
+        return command(a, spark)
+    spark = SparkSession.builder.appName("tessellar").getOrCreate()
+    try:
+        command(a, spark)
+    finally:
+        logging.getLogger(__name__).info("swept %d bytes of intermediate tables", sweep(spark))
+
+
+def command(a: argparse.Namespace, spark: SparkSession) -> None:
     if a.command == "partition":
         sinks.write_partitioned(keys.centred(load(spark, a)), a.output, "mercator_x", "mercator_y")
     elif a.command == "tiles":
@@ -64,6 +78,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.command == "cells":
         t = pyramid.quadtree(keys.fine_cells(keys.celled(load(spark, a), Box(*a.bbox) if a.bbox else None)), a.budget // a.row_bytes)
         t.groupBy("theme", "z").count().orderBy("theme", "z").show() if a.dry_run else sinks.write_table(t, a.output)
+    elif a.command == "ladder":
+        print(json.dumps(ladder.ladder(load(spark, a))))
     elif a.command == "status":
         ledger.rollup(spark.read.parquet(*a.input)).show(truncate=False)
     else:

@@ -64,3 +64,18 @@ def test_measured_sizes_split_merged_tiles(spark):
     sizes = spark.createDataFrame([(1, 0, 0, 11), (2, 2, 2, 99)], "z int, x int, y int, size_bytes long")
     over, kids = pyramid.split_measured(final, base, sizes, 10)
     assert [tuple(r) for r in over.collect()] == [(1, 0, 0)] and {tuple(r) for r in kids.collect()} == {tuple(r) for r in base.collect()} - {(2, 2, 2)}
+
+
+def test_sweep_and_ladder(spark, tmp_path):
+    from tessellar import tables
+    from tessellar.plans.ladder import ladder
+
+    took = ladder(features(spark, str(DATA / "sf0.001")))
+    assert list(took) == ["a_count", "b_read", "c_cells", "d_explode", "e_partition"] and all(v > 0 for v in took.values())
+    path = tables.shared_dir(spark)
+    spark.range(10).write.parquet(path)
+    kept = dict(tables._made)
+    tables._made.clear()
+    tables._made[spark.sparkContext.applicationId] = [path, path + "-never-written"]
+    assert tables.sweep(spark) > 0 and not Path(path).exists() and tables.sweep(spark) == 0
+    tables._made.update(kept)
