@@ -3,7 +3,8 @@
 A line's set holds its distinct lower-case words. Words are ordered by rarity: by the count of a hashed bucket of
 a sketch over all lines, then by hash; any such order is the same for all lines, which is all that the filters need. Two
 sets with Jaccard similarity of at least t share a word within their first ``n - ceil(t n) + 1`` words, at places that leave
-room for the overlap, and their sizes differ by no more than t allows. Lines that share a prefix word are
+room for the overlap, and their sizes differ by no more than t allows; the shorter one has the first word that they share even within its
+first ``n - ceil(2 t n / (1 + t)) + 1``. Lines that share a prefix word are
 compared by these filters and by bit maps of their words, whose difference bounds the overlap from above. No filter drops a
 similar pair.
 
@@ -77,13 +78,24 @@ def runs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def identity(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits of each line's sequence of words."""
+    return one_half(h, a, b), other_half(h, a, b)
+
+
+def one_half(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    at, line = runs(a, b)
+    place = U(2) * (at - a[line]).astype(U) + U(1)
+    return _summed(mix64(h[at] * U(0xD6E8FEB86659FD93) + place * U(0x9E3779B97F4A7C15)), a, b)
+
+
+def other_half(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     at, line = runs(a, b)
     place = U(2) * (at - a[line]).astype(U) + U(1)
+    return _summed(mix64(h[at] ^ (place * U(0xC2B2AE3D27D4EB4F))), a, b)
+
+
+def _summed(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     start = np.cumsum(b - a) - (b - a)
-    one = mix64(h[at] * U(0xD6E8FEB86659FD93) + place * U(0x9E3779B97F4A7C15))
-    two = mix64(h[at] ^ (place * U(0xC2B2AE3D27D4EB4F)))
-    each = lambda x: np.add.reduceat(x, start).view(np.int64) if len(start) else np.empty(0, np.int64)
-    return each(one), each(two)
+    return np.add.reduceat(x, start).view(np.int64) if len(start) else np.empty(0, np.int64)
 
 
 def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
@@ -232,7 +244,7 @@ def prefix_rows(docs: DataFrame, min_words: int, percent: int, rank, buckets: in
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             for lo, _, data, off in slices(batch.column("text")):
                 h, a, b, row, number = lines(data, off, min_words)
-                k1, _ = identity(h, a, b)
+                k1 = one_half(h, a, b)
                 doc = ids[row + lo]
                 new = earlier(seen, k1, doc, number)
                 if new.any():
@@ -266,6 +278,12 @@ def incidence(word: np.ndarray, k1: np.ndarray) -> np.ndarray:
     return mix64(word.view(U) * U(0x9E3779B97F4A7C15) + k1.view(U)).view(np.int64)
 
 
+def front(n: np.ndarray, p: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a place is one where the first word that a line shares with a similar line of its size or more can stand: the overlap is at
+    least ``2 t / (1 + t)`` of the shorter line."""
+    return p <= n + (-2 * percent * n // (100 + percent))
+
+
 def compare(rows, others, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(later, earlier, likeness): pairs of rows (k1, n, place, bits, order) and others that pass all filters, as numbers
     by ``order``; ``same``: both are one list."""
@@ -275,6 +293,7 @@ def compare(rows, others, percent: int, same: bool) -> tuple[np.ndarray, np.ndar
     ok = np.minimum(n[:, None], n2) * 100 >= np.maximum(n[:, None], n2) * percent
     # words before the shared one, that one, and those after it: at most the shorter of each
     ok &= np.minimum(p[:, None], p2) + np.minimum((n - p)[:, None], n2 - p2) >= need
+    ok &= np.where(n[:, None] <= n2, front(n, p, percent)[:, None], front(n2, p2, percent))
     differ = sum(np.bitwise_count((m[:, None, i] ^ m2[:, i]).view(U)).astype(np.int64) for i in range(m.shape[1]))
     ok &= (total - differ) // 2 >= need
     ok &= k[:, None] != k2
@@ -337,7 +356,7 @@ def whole_groups(cols: list[np.ndarray], percent: int, every_one: bool, probes=N
     begin = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
     size = np.diff(np.append(begin, len(w)))
     probe = None if probes is None else maybe(probes.value, k)
-    small, found = 48, []
+    small, found, early = 48, [], front(n, p, percent)
     # groups of a few: all pairs at one distance at a time
     of = np.repeat(size, size)
     place = np.arange(len(w)) - np.repeat(begin, size)
@@ -352,6 +371,7 @@ def whole_groups(cols: list[np.ndarray], percent: int, every_one: bool, probes=N
         need = -(-total * percent // (100 + percent))
         ok = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
         ok &= np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j]) >= need
+        ok &= np.where(n[i] <= n[j], early[i], early[j])
         i, j, total, need = i[ok], j[ok], total[ok], need[ok]
         differ = sum(np.bitwise_count((m[i] ^ m[j]).view(U)).astype(np.int64) for m in maps)
         ok = (total - differ) // 2 >= need
@@ -493,19 +513,22 @@ def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             for lo, _, data, off in slices(batch.column("text")):
                 h, a, b, row, number = lines(data, off, min_words)
-                k1, k2 = identity(h, a, b)
+                k1 = one_half(h, a, b)
                 at = np.flatnonzero(maybe(bits.value, k1))
                 at = at[earlier(seen, k1[at], ids[row[at] + lo], number[at])]
                 if len(at):
                     s = [np.unique(h[x:y]).view(np.int64) for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k2[at]), pa.array(ids[row[at] + lo]), pa.array(number[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "line", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(other_half(h, a[at], b[at])), pa.array(ids[row[at] + lo]), pa.array(number[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "line", "words"])
 
     each = docs.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, doc_id long, line long, words array<long>")
     return each.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line", "words")).alias("m")).select("k1", "k2", "m.*")
 
 
-def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """(a, a2, b, b2) of the pairs whose words are similar enough."""
+def verified(pairs: DataFrame, full: DataFrame, percent: int, most: int, few: int = 250_000) -> DataFrame:
+    """(a, a2, b, b2) of the pairs, ``most`` at most, whose words are similar enough. If they are ``few``, their lines are picked out by a
+    broadcast (some megabytes) before any set is shuffled."""
+    if most <= few:
+        full = full.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), "k1", "left_semi")
     one, two = (full.select(F.col("k1").alias(x), F.col("k2").alias(f"{x}2"), F.col("words").alias(f"s{x}")) for x in "ab")
     both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -541,7 +564,7 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataF
         near = near if tried is None else near.join(rest, "a", "left_semi")
         near = materialize(near)
         fresh_pairs = near.select("a", "b") if tried is None else near.select("a", "b").join(tried, ["a", "b"], "left_anti")
-        now = verified(fresh_pairs, full, percent)
+        now = verified(fresh_pairs, full, percent, near.count())
         links = materialize(now if links is None else links.union(now))
         rest = materialize(near.filter("more").select("a").join(links.select("a"), "a", "left_anti"))
         tried = near.select("a", "b") if tried is None else materialize(tried.union(near.select("a", "b")))
