@@ -192,6 +192,7 @@ ORACLES = {
     "byte_names": """with n as (select o_orderkey, power(10.0::double, o_orderkey % 14) * (1 + o_orderkey % 9) as n from orders)
       select o_orderkey, case when n >= 1e12 then format('{:.1f} TB', n / 1e12) when n >= 1e9 then format('{:.1f} GB', n / 1e9) when n >= 1e6 then format('{:.0f} MB', n / 1e6) else format('{:.0f} KB', n / 1e3) end as size, 'peel_' || lpad(cast(o_orderkey % 36 as varchar), 2, '0') as peel from n""",
     "checked_names": "select o_orderkey, o_orderkey % 3 <> 2 as release, cast(o_orderkey % 64 as int) as x, cast(o_custkey % 64 as int) as y from orders",
+    "tile_round_trip": f"with {BASE}, {merged(6, 0, 400)} select cast(z as int) as z, cast(x as int) as x, cast(y as int) as y, true as same from done",
     "manifest_round_trip": f"with {BASE} select z, x, y, 'done' as status, n as feature_count, n as size_bytes from t0",
     "sorted_files": f"with {C} select count(*) as n, 0::bigint as rows_out_of_order, 0::bigint as files_that_overlap from c",
     "partition_round_trip": f"with {K} select count(distinct (bx, b_y)) as buckets, count(*) filter (bx = 34 and b_y = 20) as rows_34_20, false as leaks from k",
