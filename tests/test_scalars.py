@@ -240,16 +240,16 @@ def test_quadtree_equals_plain_splitting(spark):
 
     rnd = random.Random(5)
     rows = []
-    for i in range(40):
-        w, s = 10 + rnd.random() * 0.15, 50 + rnd.random() * 0.15
-        rows.append((i, rnd.choice(["water", None]), (w, s, w + rnd.choice([0.0, 0.003, 0.2]), s + rnd.choice([0.0, 0.01, 0.2]))))
+    for i in range(60):
+        w, s = 10 + rnd.random() * 0.05, 50 + rnd.random() * 0.05
+        rows.append((i, rnd.choice(["water", None]), (w, s, w + rnd.choice([0.0, 0.003, 0.15]), s + rnd.choice([0.0, 0.01, 0.15]))))
     df = spark.createDataFrame(rows, "id long, theme string, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
     fine = keys.fine_cells(keys.celled(df))
-    got = {(r.theme, r.z, r.x, r.y): r.n for r in pyramid.quadtree(fine, 6).collect()}
+    got = {(r.theme, r.z, r.x, r.y): r.n for r in pyramid.quadtree(fine, 3).collect()}
     want = {}
 
     def split(theme, address, box, inside):
-        if len(inside) <= 6 or box.width <= 0.001 + 1e-9:
+        if len(inside) <= 3 or box.width <= 0.001 + 1e-9:
             if inside:
                 want[(theme, *address)] = len(inside)
             return
