@@ -215,7 +215,7 @@ def packer(buckets: int):
         nonlocal size
         held.append(cols)
         size += len(cols[0])
-        if size > 1_000_000:
+        if size > 500_000:
             yield from flush()
 
     return add, flush
@@ -524,7 +524,7 @@ def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
     return each.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line", "words")).alias("m")).select("k1", "k2", "m.*")
 
 
-def verified(pairs: DataFrame, full: DataFrame, percent: int, most: int, few: int = 250_000) -> DataFrame:
+def verified(pairs: DataFrame, full: DataFrame, percent: int, most: int, few: int = 50_000) -> DataFrame:
     """(a, a2, b, b2) of the pairs, ``most`` at most, whose words are similar enough. If they are ``few``, their lines are picked out by a
     broadcast (some megabytes) before any set is shuffled."""
     if most <= few:
