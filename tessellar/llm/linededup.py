@@ -2,11 +2,10 @@
 
 A line's set holds its distinct lower-case words. Words are ordered by rarity: by the count of a hashed bucket of
 a sketch over all lines, then by hash; any such order is the same for all lines, which is all that the filters need. Two
-sets with Jaccard similarity of at least t share a word within their first ``n - ceil(t n) + 1`` words, at places that leave
-room for the overlap, and their sizes differ by no more than t allows; the shorter one has the first word that they share even within its
-first ``n - ceil(2 t n / (1 + t)) + 1``. Lines that share a prefix word are
-compared by these filters and by bit maps of their words, whose difference bounds the overlap from above. No filter drops a
-similar pair.
+sets with Jaccard similarity of at least t share a word within their first ``n - ceil(t n) + 1`` words, and the first word that
+they share, with those after it, leaves either room for the overlap of ``ceil(t (n + m) / (1 + t))``, which holds their sizes together too. Lines that
+share a prefix word are compared as if it were the first: by this and by bit maps of their words from there on, whose difference
+bounds the overlap from above. Under the word that is the first, neither drops a similar pair.
 
 A line goes if any line before it is that similar, whether or not that one goes too; lines are ordered by (doc_id,
 number in the text). So a line needs one match among those before it. Round one verifies its likeliest partner by bit maps
@@ -31,27 +30,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessellar.llm.common import U, materialize, mix64, prefix, sheltered, slices, small_batches, span_hash, sum_slices, text_hash, words
+from tessellar.llm.common import U, materialize, mix64, prefix, sheltered, slices, small_batches, span_hash, sum_slices, text_hash
 from tessellar.llm.filters import id_filter, maybe
 
 SKETCH_BITS = 17
 SKETCH = 1 << SKETCH_BITS
 SLICES = 8
 NO_ID = -(1 << 63)
-#: lines of a word's group that are compared at a time, lines of a word from which blocks of them are, and entries that a
-#: task gathers before it puts such words aside
+#: pairs that are compared at a time, a quarter of the lines in a block of a word's group, lines of a word from which blocks of them are compared,
+#: and entries that a task gathers before it puts such words aside
+CHUNK = 1 << 19
 BLOCK = 2048
 HOT = 16_384
 LIMIT = 2_000_000
 MAPS = 8
 M = [f"m{i}" for i in range(MAPS)]
+LONG_WORD = 64
+EIGHT = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
+
+
+def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word, as ``common.words`` finds them."""
+    if not len(data):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    seen = (data - np.uint8(9) > 4) & (data != 32)
+    flips = np.flatnonzero(seen[1:] != seen[:-1]) + 1
+    flips = np.concatenate((np.zeros(int(seen[0]), np.int64), flips, np.full(int(seen[-1]), len(data))))
+    s, e = flips[::2], flips[1::2]
+    # words that run into the next row's first
+    edge = np.unique(off[(off > 0) & (off < len(data))])
+    edge = edge[seen[edge - 1] & seen[edge]]
+    return np.insert(s, np.searchsorted(s, edge), edge), np.insert(e, np.searchsorted(e, edge), edge)
+
+
+def hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word in lower case, read 8 bytes at a time; of one longer than ``LONG_WORD`` by its span."""
+    low = np.zeros(len(data) + 8, np.uint8)
+    np.bitwise_or(data, (data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5), out=low[: len(data)])
+    eight = np.ndarray((len(data) + 1,), "<u8", low, strides=(1,))
+    n = e - s
+    h = mix64((eight[s] & EIGHT[np.minimum(n, 8)]) + n.astype(U) * U(0x9E3779B97F4A7C15))
+    at, k = np.flatnonzero((n > 8) & (n <= LONG_WORD)), 8
+    while len(at):
+        h[at] = mix64((h[at] + (eight[s[at] + k] & EIGHT[np.minimum(n[at] - k, 8)])) * U(0xD6E8FEB86659FD93))
+        k += 8
+        at = at[n[at] > k]
+    at = np.flatnonzero(n > LONG_WORD)
+    if len(at):
+        byte, _ = runs(s[at], e[at])
+        end = np.cumsum(n[at])
+        h[at] = span_hash(prefix(low[byte]), end - n[at], end)
+    return h
 
 
 def lines(data: np.ndarray, off: np.ndarray, min_words: int):
     """(hashes of all words, first word of each line, word after its last, row, number in the row) of lines long
     enough."""
-    s, e, first = words(data, off)
-    h = span_hash(prefix(data, True), s, e)
+    s, e = spans(data, off)
+    h = hashes(data, s, e)
     n = len(off) - 1
     breaks = np.flatnonzero(data == 10)
     # lines begin at rows' begins and after each line feed
@@ -63,7 +99,7 @@ def lines(data: np.ndarray, off: np.ndarray, min_words: int):
     a = np.searchsorted(s, begin)
     b = np.append(a[1:], len(s))
     # a line that begins where its row ends has no word of the next row
-    b = np.minimum(b, first[row + 1])
+    b = np.minimum(b, np.searchsorted(s, off)[row + 1])
     a = np.minimum(a, b)
     ok = (b - a) >= min_words
     return h, a[ok], b[ok], row[ok], number[ok]
@@ -138,14 +174,18 @@ def ordered(h: np.ndarray, a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> tu
     given as its place in the order of rarity, a one-to-one change of its hash."""
     at, line = runs(a, b)
     w = h[at]
-    w = (rank[(w & U(SKETCH - 1)).astype(np.int64)] << U(64 - SKETCH_BITS)) | (w >> U(SKETCH_BITS))
+    return distinct((rank[(w & U(SKETCH - 1)).astype(np.int64)] << U(64 - SKETCH_BITS)) | (w >> U(SKETCH_BITS)), line, len(a))
+
+
+def distinct(w: np.ndarray, line: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each of ``n`` lines in order, and the first of each line (the count at the end)."""
     order = np.argsort(w)
-    order = order[np.argsort(line[order].astype(np.uint16 if len(a) < 1 << 16 else np.int64), kind="stable")]
+    order = order[np.argsort(line[order].astype(np.uint16 if n < 1 << 16 else np.int64), kind="stable")]
     w, line = w[order], line[order]
     new = np.ones(len(w), bool)
     new[1:] = (w[1:] != w[:-1]) | (line[1:] != line[:-1])
     w, line = w[new], line[new]
-    return w, np.searchsorted(line, np.arange(len(a) + 1))
+    return w, np.searchsorted(line, np.arange(n + 1))
 
 
 def earlier(seen: dict, k1: np.ndarray, doc: np.ndarray, number: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
@@ -222,16 +262,20 @@ def packer(buckets: int):
 
 
 def entries(w: np.ndarray, begin: np.ndarray, k1: np.ndarray, doc: np.ndarray, number: np.ndarray, percent: int, maps: int, words_of=None, met_of=None) -> list[np.ndarray]:
-    """The entries of each line's prefix, of ordered words."""
+    """The entries of each line's prefix, of ordered words; an entry's bit maps are of its word and the line's words after it."""
     n = np.diff(begin)
-    bits = [np.bitwise_xor.reduceat(np.where((w >> U(6)) % U(maps) == U(i), U(1) << (w & U(63)), U(0)), begin[:-1]).view(np.int64) for i in range(maps)]
     at, line = runs(begin[:-1], begin[:-1] + n + (-n * percent // 100) + 1)  # n - ceil(n * percent / 100) + 1
     if words_of is not None:
         ok = maybe(words_of.value, w[at].view(np.int64))
         at, line = at[ok], line[ok]
         ok = maybe(met_of.value, incidence(w[at].view(np.int64), k1[line]))
         at, line = at[ok], line[ok]
-    return [w[at].view(np.int64), k1[line], doc[line], n[line].astype(np.int32), (at - begin[line]).astype(np.int32), number[line].astype(np.int32), *(m[line] for m in bits)]
+    bits = []
+    for i in range(maps):
+        up_to = np.zeros(len(w) + 1, U)
+        np.bitwise_xor.accumulate(np.where((w >> U(6)) % U(maps) == U(i), U(1) << (w & U(63)), U(0)), out=up_to[1:])
+        bits.append((up_to[begin[line + 1]] ^ up_to[at]).view(np.int64))
+    return [w[at].view(np.int64), k1[line], doc[line], n[line].astype(np.int32), (at - begin[line]).astype(np.int32), number[line].astype(np.int32), *bits]
 
 
 def prefix_rows(docs: DataFrame, min_words: int, percent: int, rank, buckets: int) -> DataFrame:
@@ -278,30 +322,38 @@ def incidence(word: np.ndarray, k1: np.ndarray) -> np.ndarray:
     return mix64(word.view(U) * U(0x9E3779B97F4A7C15) + k1.view(U)).view(np.int64)
 
 
-def front(n: np.ndarray, p: np.ndarray, percent: int) -> np.ndarray:
-    """Whether a place is one where the first word that a line shares with a similar line of its size or more can stand: the overlap is at
-    least ``2 t / (1 + t)`` of the shorter line."""
-    return p <= n + (-2 * percent * n // (100 + percent))
-
-
-def compare(rows, others, percent: int, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(later, earlier, likeness): pairs of rows (k1, n, place, bits, order) and others that pass all filters, as numbers
-    by ``order``; ``same``: both are one list."""
-    (k, n, p, m, o), (k2, n2, p2, m2, o2) = rows, others
-    total = n[:, None] + n2
-    need = -(-total * percent // (100 + percent))
-    ok = np.minimum(n[:, None], n2) * 100 >= np.maximum(n[:, None], n2) * percent
-    # words before the shared one, that one, and those after it: at most the shorter of each
-    ok &= np.minimum(p[:, None], p2) + np.minimum((n - p)[:, None], n2 - p2) >= need
-    ok &= np.where(n[:, None] <= n2, front(n, p, percent)[:, None], front(n2, p2, percent))
-    differ = sum(np.bitwise_count((m[:, None, i] ^ m2[:, i]).view(U)).astype(np.int64) for i in range(m.shape[1]))
-    ok &= (total - differ) // 2 >= need
-    ok &= k[:, None] != k2
-    if same:
-        ok &= np.arange(len(k))[:, None] < np.arange(len(k2))
-    i, j = np.nonzero(ok)
-    x, y = o[i], o2[j]
-    return np.maximum(x, y), np.minimum(x, y), 1 - differ[i, j] / total[i, j]
+def partners(group: np.ndarray, n: np.ndarray, p: np.ndarray, maps: list[np.ndarray], percent: int, side=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(one, other, likeness): pairs of entries of a group that pass all filters, some at a time. A pair is needed only under the first word
+    that its lines share, where the overlap is no more than the words of either from there on. So the sizes of an entry's larger
+    partners end where its own words don't suffice. ``side``: (0 or 1 for each entry) pairs only across the two."""
+    side = np.zeros(len(n), np.int64) if side is None else side + 2
+    key = ((group << 1 | side & 1) << 32) | n
+    order = np.argsort(key)
+    key, n, left, maps, side = key[order], n[order], (n - p)[order], [m[order] for m in maps], side[order]
+    most = np.maximum(left * (100 + percent) // percent - n, 0)
+    across = np.where(side > 1, key ^ (1 << 32), key) - n
+    # of two of one size, the first is one, the second other
+    start = np.where(side > 1, np.searchsorted(key, across + n + (side & 1)), np.arange(1, len(n) + 1))
+    count = np.maximum(np.searchsorted(key, across + most, "right") - start, 0)
+    ends = np.cumsum(count)
+    a = 0
+    while a < len(n):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - count[a] + CHUNK, "right")))
+        many = count[a:b]
+        i = np.repeat(np.arange(a, b), many)
+        j = np.arange(len(i)) + np.repeat(start[a:b] - (ends[a:b] - many - ends[a] + count[a]), many)
+        a = b
+        total = n[i] + n[j]
+        need = -(-total * percent // (100 + percent))
+        ok = left[j] >= need
+        i, j, total, need = i[ok], j[ok], total[ok], need[ok]
+        rest = left[i] + left[j]
+        spare = rest - 2 * need
+        for m in maps:
+            differ = np.bitwise_count((m[i] ^ m[j]).view(U)).astype(np.int64)
+            ok = differ <= spare
+            i, j, total, rest, spare = i[ok], j[ok], total[ok], rest[ok] - differ[ok], spare[ok] - differ[ok]
+        yield order[i], order[j], rest / total
 
 
 def likeliest(later: np.ndarray, earlier: np.ndarray, like: np.ndarray):
@@ -312,36 +364,26 @@ def likeliest(later: np.ndarray, earlier: np.ndarray, like: np.ndarray):
     return later[last], earlier[last], like[last], np.diff(np.append(-1, last)) > 1
 
 
-def crowd(k, bits, n, p, percent: int, every_one: bool, probe=None, side=None):
-    """(later, earlier, likeness, more, which rows met another) within a large group, whose rows come in order; block by block by size.
-    ``probe``: partners of these rows only, ``every_one`` of them; ``side``: (0 or 1 for each row) pairs only across the two."""
-    number = np.arange(len(k))
-    by = np.lexsort((number, n))
-    lists = [by] if side is None else [by[side[by] == x] for x in (0, 1)]
-    first, second = (tuple(x[at] for x in (k, n, p, bits, number)) for at in (lists[0], lists[-1]))
-    best, like, count, every = np.full(len(k), -1), np.full(len(k), -1.0), np.zeros(len(k), np.int64), []
-    met = np.zeros(len(k), bool)
-    for a in range(0, len(first[0]), BLOCK):
-        own = tuple(x[a : a + BLOCK] for x in first)
-        start = a if side is None else int(np.searchsorted(second[1], -(-own[1][0] * percent // 100)))
-        end = int(np.searchsorted(second[1], own[1][-1] * 100 // percent, "right"))
-        for c in range(start, end, BLOCK):
-            x, y, s = compare(own, tuple(v[c : min(c + BLOCK, end)] for v in second), percent, side is None and c == a)
-            met[x], met[y] = True, True
-            if probe is not None:
-                x, y, s = x[probe[x]], y[probe[x]], s[probe[x]]
-            if every_one:
-                every.append((x, y))
-                continue
-            count += np.bincount(x, minlength=len(k))
-            x, y, s, _ = likeliest(x, y, s)
-            up = s > like[x]
-            best[x[up]], like[x[up]] = y[up], s[up]
+def linked(group: np.ndarray, k: np.ndarray, n: np.ndarray, p: np.ndarray, maps: list[np.ndarray], percent: int, every_one: bool, probes=None, side=None):
+    """(later, earlier, likeness, more, which entries met another) of entries that come in order within their groups: the likeliest partner of
+    each entry, or ``every_one``; of the lines in ``probes`` only. ``side``: see ``partners``."""
+    probe = None if probes is None else maybe(probes.value, k)
+    met, several = np.zeros(len(k), bool), np.zeros(len(k), bool)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for x, y, s in partners(group, n.astype(np.int64), p.astype(np.int64), maps, percent, side):
+        x, y = np.maximum(x, y), np.minimum(x, y)
+        if probe is not None:
+            x, y, s = x[probe[x]], y[probe[x]], s[probe[x]]
+        met[x], met[y] = True, True
+        if not every_one:
+            x, y, s, more = likeliest(x, y, s)
+            several[x[more]] = True
+        found.append((x, y, s))
+    x, y, s = (np.concatenate(z) for z in zip(*found, strict=True))
     if every_one:
-        x, y = (np.concatenate(z) for z in zip(*every, strict=True)) if every else (number[:0],) * 2
-        return x, y, np.zeros(len(x)), np.zeros(len(x), bool), met
-    x = np.flatnonzero(best >= 0)
-    return x, best[x], like[x], count[x] > 1, met
+        return x, y, s, np.zeros(len(x), bool), met
+    x, y, s, more = likeliest(x, y, s)
+    return x, y, s, more | several[x], met
 
 
 def whole_groups(cols: list[np.ndarray], percent: int, every_one: bool, probes=None):
@@ -349,45 +391,9 @@ def whole_groups(cols: list[np.ndarray], percent: int, every_one: bool, probes=N
     the likeliest partner of each line in each group, or ``every_one``; of the lines in ``probes`` only. And (word, k1) of the
     lines that met another."""
     w, k, _, n, p, _, *maps = cols
-    bits = np.stack(maps, axis=1)
-    if not len(w):
-        return [np.empty(0, t) for t in (np.int64, np.int64, np.int64, float, bool)], (w, k)
-    n, p = n.astype(np.int64), p.astype(np.int64)
-    begin = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-    size = np.diff(np.append(begin, len(w)))
-    probe = None if probes is None else maybe(probes.value, k)
-    small, found, early = 48, [], front(n, p, percent)
-    # groups of a few: all pairs at one distance at a time
-    of = np.repeat(size, size)
-    place = np.arange(len(w)) - np.repeat(begin, size)
-    little = np.flatnonzero((of > 1) & (of <= small))
-    for d in range(1, int(of[little].max(initial=1))):
-        little = little[of[little] > d]
-        i = little[place[little] + d < of[little]]
-        if probe is not None:
-            i = i[probe[i + d]]
-        j = i + d
-        total = n[i] + n[j]
-        need = -(-total * percent // (100 + percent))
-        ok = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
-        ok &= np.minimum(p[i], p[j]) + np.minimum(n[i] - p[i], n[j] - p[j]) >= need
-        ok &= np.where(n[i] <= n[j], early[i], early[j])
-        i, j, total, need = i[ok], j[ok], total[ok], need[ok]
-        differ = sum(np.bitwise_count((m[i] ^ m[j]).view(U)).astype(np.int64) for m in maps)
-        ok = (total - differ) // 2 >= need
-        found.append((j[ok], i[ok], 1 - differ[ok] / total[ok]))
-    x, y, s = (np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-    met = np.zeros(len(w), bool)
-    met[x], met[y] = True, True
-    more = np.zeros(len(x), bool)
-    if not every_one:
-        x, y, s, more = likeliest(x, y, s)
-    out = [(w[x], k[x], k[y], s, more)]
-    for a, m in zip(begin[size > small].tolist(), size[size > small].tolist(), strict=True):
-        b = a + m
-        x, y, s, more, met[a:b] = crowd(k[a:b], bits[a:b], n[a:b], p[a:b], percent, every_one, None if probe is None else probe[a:b])
-        out.append((np.full(len(x), w[a]), k[a:b][x], k[a:b][y], s, more))
-    return [np.concatenate(z) for z in zip(*out, strict=True)], (w[met], k[met])
+    group = np.cumsum(np.append(False, w[1:] != w[:-1])) if len(w) else np.empty(0, np.int64)
+    x, y, s, more, met = linked(group, k, n, p, maps, percent, every_one, probes)
+    return [w[x], k[x], k[y], s, more], (w[met], k[met])
 
 
 def in_order(cols: list[np.ndarray]) -> list[np.ndarray]:
@@ -470,7 +476,7 @@ def grouped(rows: DataFrame, percent: int, maps: int = 1, every_one: bool = Fals
     return rows.groupBy("bucket").applyInArrow(run, "word long, a long, b long, more boolean, likeness double, payload binary")
 
 
-def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False, probes=None) -> DataFrame:
+def dealt(hot: DataFrame, percent: int, wide: int = 1, every_one: bool = False, probes=None) -> DataFrame:
     """(word, a, b, more, likeness) of words too common for a task: their entries are dealt by hash to blocks, and each pair
     of blocks is a task."""
 
@@ -478,10 +484,9 @@ def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False,
         k, doc, n, p, line, own = (t.column(c).to_numpy().astype(np.int64) for c in ("k1", "doc_id", "n", "place", "line", "own"))
         order = np.lexsort((k, line, doc))
         k, n, p, own = k[order], n[order], p[order], own[order]
-        bits = np.stack([t.column(f"m{i}").to_numpy() for i in range(maps)], axis=1)[order]
-        lone = key[1].as_py() == key[2].as_py()
-        probe = None if probes is None else maybe(probes.value, k)
-        x, y, s, _, met = crowd(k, bits, n, p, percent, every_one, probe, None if lone else (own == key[2].as_py()).astype(int))
+        maps = [t.column(f"m{i}").to_numpy()[order] for i in range(wide)]
+        side = None if key[1].as_py() == key[2].as_py() else (own == key[2].as_py()).astype(np.int64)
+        x, y, s, _, met = linked(np.zeros(len(k), np.int64), k, n, p, maps, percent, every_one, probes, side)
         met = np.setdiff1d(k[met], k[x])
         w, none = np.full(len(x) + len(met), key[0].as_py()), pa.nulls(len(met), pa.int64())
         # other pairs of blocks can hold more
@@ -490,15 +495,15 @@ def dealt(hot: DataFrame, percent: int, maps: int = 1, every_one: bool = False,
     def loose(batches):
         for batch in batches:
             for x in batch.column("payload"):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in unpacked(x.as_py(), maps)], [c for c, _ in columns(maps)])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in unpacked(x.as_py(), wide)], [c for c, _ in columns(wide)])
 
-    hot = hot.select("payload").mapInArrow(loose, ", ".join(f"{c} {'long' if t is np.int64 else 'int'}" for c, t in columns(maps)))
+    hot = hot.select("payload").mapInArrow(loose, ", ".join(f"{c} {'long' if t is np.int64 else 'int'}" for c, t in columns(wide)))
     first = F.row_number().over(Window.partitionBy("word", "k1").orderBy("doc_id", "line"))
     one = hot.withColumn("_n", first).filter("_n = 1").drop("_n")
     many = one.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).alias("blocks"))
     one = one.join(many, "word").withColumn("own", F.pmod(F.xxhash64("k1"), "blocks"))
     one = one.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    one = one.select("word", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", *[c for c, _ in columns(maps)[1:]])
+    one = one.select("word", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", *[c for c, _ in columns(wide)[1:]])
     return one.groupBy("word", "b1", "b2").applyInArrow(run, "word long, a long, b long, more boolean, likeness double")
 
 
@@ -517,22 +522,25 @@ def line_sets(docs: DataFrame, min_words: int, members: DataFrame) -> DataFrame:
                 at = np.flatnonzero(maybe(bits.value, k1))
                 at = at[earlier(seen, k1[at], ids[row[at] + lo], number[at])]
                 if len(at):
-                    s = [np.unique(h[x:y]).view(np.int64) for x, y in zip(a[at].tolist(), b[at].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(other_half(h, a[at], b[at])), pa.array(ids[row[at] + lo]), pa.array(number[at]), pa.array(s, pa.list_(pa.int64()))], ["k1", "k2", "doc_id", "line", "words"])
+                    of, line = runs(a[at], b[at])
+                    w, begin = distinct(h[of], line, len(at))
+                    s = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(w.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(other_half(h, a[at], b[at])), pa.array(ids[row[at] + lo]), pa.array(number[at]), s], ["k1", "k2", "doc_id", "line", "words"])
 
     each = docs.select("doc_id", "text").mapInArrow(run, "k1 long, k2 long, doc_id long, line long, words array<long>")
     return each.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "line", "words")).alias("m")).select("k1", "k2", "m.*")
 
 
 def verified(pairs: DataFrame, full: DataFrame, percent: int, most: int, few: int = 50_000) -> DataFrame:
-    """(a, a2, b, b2) of the pairs, ``most`` at most, whose words are similar enough. If they are ``few``, their lines are picked out by a
+    """(a, a2, other: the place of b) of the pairs, ``most`` at most, whose words are similar enough. If they are ``few``, their lines are picked out by a
     broadcast (some megabytes) before any set is shuffled."""
     if most <= few:
         full = full.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()), "k1", "left_semi")
-    one, two = (full.select(F.col("k1").alias(x), F.col("k2").alias(f"{x}2"), F.col("words").alias(f"s{x}")) for x in "ab")
+    one = full.select(F.col("k1").alias("a"), F.col("k2").alias("a2"), F.col("words").alias("sa"))
+    two = full.select(F.col("k1").alias("b"), F.struct("doc_id", "line", "k1").alias("other"), F.col("words").alias("sb"))
     both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "a2", "b", "b2").distinct()
+    return both.filter(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "a2", "other")
 
 
 def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:
@@ -570,14 +578,13 @@ def later_lines(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataF
         tried = near.select("a", "b") if tried is None else materialize(tried.union(near.select("a", "b")))
         if rest.isEmpty():
             break
-    place = F.struct("doc_id", "line", "k1", "th")
     # two lines of equal k1 but not k2 stay two: k2 is checked here
+    there = links.groupBy(F.col("a").alias("k1"), F.col("a2").alias("k2")).agg(F.min("other").alias("other"))
+    place = F.struct("doc_id", "line", "th")
     firsts = all_lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    ends = links.select(F.col("a").alias("k1"), F.col("a2").alias("k2"), "b", "b2")
-    there = ends.join(firsts.select(F.col("k1").alias("b"), F.col("k2").alias("b2"), F.col("first").alias("other")), ["b", "b2"])
-    there = there.groupBy("k1", "k2").agg(F.min("other").alias("other"))
-    best = firsts.join(there, ["k1", "k2"], "left").filter("n > 1 or other is not null").select("k1", "k2", F.least("first", "other").alias("best"))
-    return all_lines.join(best, ["k1", "k2"]).filter(place > F.col("best")).select("doc_id", "th", "line")
+    best = firsts.join(there, ["k1", "k2"], "left").filter("n > 1 or other is not null").select("k1", "k2", "first", "other")
+    known = F.struct(F.coalesce("doc_id", F.lit(NO_ID)), "line", "k1")
+    return all_lines.join(best, ["k1", "k2"]).filter((place > F.col("first")) | F.coalesce(known > F.col("other"), F.lit(False))).select("doc_id", "th", "line")
 
 
 def dedup(docs: DataFrame, percent: int = 80, min_words: int = 1) -> DataFrame:

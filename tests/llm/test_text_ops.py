@@ -179,6 +179,78 @@ def test_line_dedup_odd(odd, none):
     assert linededup.dedup(none).count() == 0
 
 
+def groups(sets, maps, **options):
+    """What ``whole_groups`` makes of lines, given as sets of words in order."""
+    w = np.concatenate([np.array(sorted(x), np.uint64) for x in sets])
+    begin = np.cumsum([0, *map(len, sets)])
+    k = np.arange(len(sets))
+    return linededup.whole_groups(linededup.in_order(linededup.entries(w, begin, k, k, k, 80, maps)), 80, options.pop("every_one", True), **options)
+
+
+def similar(x, y):
+    return 100 * len(x & y) >= 80 * len(x | y)
+
+
+def test_line_dedup_needs_a_pair_only_under_its_first_shared_word():
+    x, y = set(range(20)), set(range(25))
+    assert similar(x, y)
+    (w, *_), _ = groups([x, y], 1)
+    assert len(w) == 1
+    # a word that comes second in the shorter one isn't the first of an overlap of 20
+    cols = [np.array(c) for c in ([7, 7], [0, 1], [0, 1], [20, 25], [1, 1], [0, 0], [0, 0])]
+    pairs, (met, _) = linededup.whole_groups(cols, 80, True)
+    assert not len(pairs[0]) and not len(met)
+
+
+@pytest.mark.parametrize("maps", [1, 8])
+def test_line_dedup_loses_no_pair(monkeypatch, maps):
+    monkeypatch.setattr(linededup, "CHUNK", 50)
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, 90)
+    base = [rng.choice(words, n, replace=False) for n in (3, 5, 12, 25, 60)]
+    sets = [set(rng.choice(b, rng.integers(max(1, len(b) * 4 // 5 - 1), len(b) + 1), replace=False).tolist()) | set(rng.choice(words, rng.integers(0, 3)).tolist()) for b in base for _ in range(30)]
+    want = {(j, i) for j in range(len(sets)) for i in range(j) if similar(sets[i], sets[j])}
+    (_, a, b, _, _), _ = groups(sets, maps)
+    assert len(want) > 300 and want <= set(zip(a.tolist(), b.tolist(), strict=True))
+    # every line that has a partner has a likeliest one, and is told to have more
+    (_, a, _, _, more), (_, met) = groups(sets, maps, every_one=False)
+    assert {j for j, _ in want} <= set(a.tolist()) and {x for p in want for x in p} <= set(met.tolist())
+    several = {j for j, n in collections.Counter(j for j, _ in want).items() if n > 1}
+    assert several <= {j for j, m in zip(a.tolist(), more.tolist(), strict=True) if m} | {j for j, n in collections.Counter(a.tolist()).items() if n > 1}
+
+
+def test_line_dedup_blocks_of_a_word():
+    rng = np.random.default_rng(4)
+    n = rng.integers(5, 30, 200)
+    p = rng.integers(0, 3, 200)
+    maps = [rng.integers(0, 4, 200)]
+    one, side = np.zeros(200, np.int64), rng.integers(0, 2, 200)
+
+    def pairs(at, side=None):
+        x, y, *_ = linededup.linked(one[at], at, n[at], p[at], [m[at] for m in maps], 80, True, None, side)
+        return collections.Counter(zip(at[x].tolist(), at[y].tolist(), strict=True))
+
+    whole = pairs(np.arange(200))
+    assert len(whole) > 100 and set(whole.values()) == {1}
+    assert whole == pairs(np.flatnonzero(side == 0)) + pairs(np.flatnonzero(side == 1)) + pairs(np.arange(200), side)
+
+
+def test_line_words_are_those_of_the_other_operators():
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer("aAbBzZ09@[`{é \n\t\r\x0b\x0c\x00".encode(), np.uint8)
+    for t in range(60):
+        data = letters[rng.integers(0, len(letters) if t % 3 else 4, 400)]
+        off = np.sort([0, 400, *rng.integers(0, 401, 5)])
+        s, e, _ = common.words(data, off)
+        s2, e2 = linededup.spans(data, off)
+        assert s.tolist() == s2.tolist() and e.tolist() == e2.tolist()
+        of = dict(zip((data[x:y].tobytes().lower() for x, y in zip(s, e, strict=True)), linededup.hashes(data, s, e).tolist(), strict=True))
+        assert len(set(of.values())) == len(of)
+        for x, h in of.items():
+            alone = np.frombuffer(b" " + x.upper(), np.uint8)
+            assert linededup.hashes(alone, np.array([1]), np.array([len(alone)])).tolist() == [h]
+
+
 # ---- 3 ----
 
 
